@@ -62,10 +62,20 @@ def sales_order() -> list:
 
 def live_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales from purchase events; ids are unique."""
+    return live_sales_of(table(spark, sf_dir, "events"))
+
+
+def live_sales_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sales as a stream over the files of the events table."""
+    schema = table(spark, sf_dir, "events").schema
+    # A stream takes a folder or a pattern; this one names the table whether it is a file or a folder.
+    return live_sales_of(spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet"))
+
+
+def live_sales_of(events: DataFrame) -> DataFrame:
     quantity = F.from_json("props", "k int")["k"] % 10 + 1
     return (
-        table(spark, sf_dir, "events")
-        .where(F.col("event_type") == "purchase")
+        events.where(F.col("event_type") == "purchase")
         .select(
             F.col("event_id").alias("arrival_seq"),
             F.col("event_id").cast("string").alias("transaction_id"),

@@ -7,14 +7,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.functions.money import unit_price
 from tillstream.operators import asof, enrich, quality, rates, totals, upsert
 from tillstream.plans import bindings as b
 from tillstream.schemas import RATE, SALE
-from tillstream.session import settled, use_utc
+from tillstream.session import new_folder, settled, use_utc
 from tillstream.sinks.publish import as_messages
+from tillstream.sinks.versions import Versions
 from tillstream.sources.decode import decode
+from tillstream.sources.topics import folder_stream
+from tillstream.streaming.event_time import windowed_sales_per_day
+from tillstream.streaming.rates_job import RatesJob
+from tillstream.streaming.running import keep_totals, published, running_sum
+from tillstream.streaming.sales_job import SalesJob
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = datetime.date(2024, 2, 1)
@@ -216,6 +223,106 @@ def wire_times(spark, sf_dir):
     )
 
 
+# Streams: the tables above, from topics of JSON messages
+
+def _topic(spark, rows: DataFrame, record, key, order: str, at: str) -> str:
+    """Publish rows to a folder of recorded messages."""
+    place = [F.lit(0).alias("partition"), F.col(order).alias("offset"), F.col(at).cast("timestamp").alias("timestamp")]
+    path = new_folder(spark, f"{record.name}-topic")
+    as_messages(rows, record, key, *place).write.parquet(path)
+    return path
+
+
+def _zoneless(table: DataFrame) -> DataFrame:
+    stamps = [f.name for f in table.schema if isinstance(f.dataType, T.TimestampType)]
+    return table.withColumns({c: F.col(c).cast("timestamp_ntz") for c in stamps})
+
+
+def _run_rates(spark, updates: DataFrame) -> RatesJob:
+    topic = _topic(spark, updates, RATE, F.uuid(), "arrival_seq", "last_updated")
+    job = RatesJob(spark, new_folder(spark, "rates"))
+    job.start(folder_stream(spark, topic), f"{job.root}/checkpoint", availableNow=True).awaitTermination()
+    return job
+
+
+def _run_sales(spark, sf_dir, sales: DataFrame, **options) -> SalesJob:
+    topic = _topic(spark, sales, SALE, "transaction_id", "arrival_seq", "sold_at")
+    table = rates_table(spark, sf_dir)
+    job = SalesJob(spark, new_folder(spark, "sales"), lambda: table, **options)
+    job.start(folder_stream(spark, topic), f"{job.root}/checkpoint", availableNow=True).awaitTermination()
+    return job
+
+
+def _live(spark, sf_dir) -> DataFrame:
+    return b.live_sales(spark, sf_dir).withColumn("sold_at", F.col("transaction_date"))
+
+
+def stream_rates(spark, sf_dir):
+    return _zoneless(_run_rates(spark, b.rate_updates(spark, sf_dir)).table())
+
+
+def stream_rate_quarantine(spark, sf_dir):
+    rejected = _run_rates(spark, b.dirty_rate_updates(spark, sf_dir)).quarantine()
+    return rejected.groupBy("violations").agg(F.count("*").alias("updates"))
+
+
+def stream_transactions(spark, sf_dir):
+    return _zoneless(_run_sales(spark, sf_dir, _live(spark, sf_dir)).transactions())
+
+
+def stream_sales_per_day(spark, sf_dir):
+    return _run_sales(spark, sf_dir, _live(spark, sf_dir)).sales_per_day()
+
+
+def stream_category_running(spark, sf_dir):
+    return _run_sales(spark, sf_dir, _live(spark, sf_dir)).sales_per_category()
+
+
+def stream_processing_date_day(spark, sf_dir):
+    job = _run_sales(spark, sf_dir, _live(spark, sf_dir), processing_date=lambda: F.lit(RUN_DATE))
+    return job.processed("day")
+
+
+def stream_processing_date_category(spark, sf_dir):
+    job = _run_sales(spark, sf_dir, _live(spark, sf_dir), processing_date=lambda: F.lit(RUN_DATE))
+    return job.processed("category")
+
+
+def stream_sales_quarantine(spark, sf_dir):
+    dirty = b.dirty_sales(spark, sf_dir).withColumn("sold_at", F.col("transaction_date"))
+    rejected = _run_sales(spark, sf_dir, dirty).quarantine()
+    return rejected.groupBy("violations").agg(F.count("*").alias("sales"))
+
+
+def _live_stream(spark, sf_dir) -> DataFrame:
+    """Live sales as a stream over the events table, converted by the stored rates."""
+    return enrich.convert_latest(b.live_sales_stream(spark, sf_dir), rates_table(spark, sf_dir))
+
+
+def _run_totals(spark, totals_stream: DataFrame, keys: list[str], name: str) -> DataFrame:
+    table = Versions(spark, new_folder(spark, name))
+    keep_totals(totals_stream, keys, table, f"{table.root}/checkpoint", availableNow=True).awaitTermination()
+    return published(table)
+
+
+def stream_category_total(spark, sf_dir):
+    """Totals per category in the state store."""
+    sums = running_sum(_live_stream(spark, sf_dir), F.col("product_category"), "category")
+    return _run_totals(spark, sums, ["category"], "category-totals")
+
+
+def stream_day_total(spark, sf_dir):
+    """Totals per day in the state store, none closed."""
+    sums = running_sum(_live_stream(spark, sf_dir), totals.sale_day(), "transaction_date")
+    return _run_totals(spark, sums, ["transaction_date"], "day-totals")
+
+
+def stream_windowed_day(spark, sf_dir):
+    """Totals per one-day window; the events arrive in time order, so nothing is late."""
+    sums = windowed_sales_per_day(_live_stream(spark, sf_dir))
+    return _run_totals(spark, sums, ["transaction_date"], "windowed-days")
+
+
 BATCH_QUERIES: list[Query] = [
     latest_rate_by_arrival, latest_rate_by_event_time, rate_grid, insert_if_absent, seed_when_empty,
     rate_quarantine, rate_quality_split, rate_accepted_latest, txn_quality_split, future_rate_guard,
@@ -225,6 +332,11 @@ BATCH_QUERIES: list[Query] = [
     sales_per_day_asof, sales_per_day_unique, processing_date_category, processing_date_day,
     json_roundtrip, rate_messages, json_defaults, json_ignore_unknown, wire_times,
 ]
+STREAM_QUERIES: list[Query] = [
+    stream_rates, stream_rate_quarantine, stream_transactions, stream_sales_per_day,
+    stream_category_running, stream_processing_date_day, stream_processing_date_category,
+    stream_sales_quarantine, stream_category_total, stream_day_total, stream_windowed_day,
+]
 
 
 def in_utc(query: Query) -> Query:
@@ -236,4 +348,4 @@ def in_utc(query: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {query.__name__: in_utc(query) for query in BATCH_QUERIES}
+    return {query.__name__: in_utc(query) for query in BATCH_QUERIES + STREAM_QUERIES}

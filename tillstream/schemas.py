@@ -27,6 +27,12 @@ RATE_FIELDS = [
     ("exchangeRate", "exchange_rate", "double", None),
     ("lastUpdated", "last_updated", "timestamp", None),
 ]
+TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "timestamp": T.TimestampType(),
+}
 
 
 @dataclass(frozen=True)
@@ -49,6 +55,11 @@ class Record:
     def columns(self) -> list[str]:
         return [f.column for f in self.fields]
 
+    def schema(self, **other: T.DataType) -> T.StructType:
+        """Columns with their types; `other` replaces some by name."""
+        kinds = {f.column: other.get(f.column, TYPES[f.type]) for f in self.fields}
+        return T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
+
     def text_limits(self) -> dict[str, int]:
         return {f.column: f.max_length for f in self.fields if f.max_length}
 
@@ -83,3 +94,7 @@ ARRIVAL = T.StructType([
     T.StructField("partition", T.IntegerType()),
     T.StructField("offset", T.LongType()),
 ])
+
+# Stored rates, with the arrival that wrote each.
+STORED_RATES = RATE.schema(exchange_rate=RATE_TYPE).add("arrival", ARRIVAL)
+STORED_SALES = SALE.schema().add("arrival", ARRIVAL)
