@@ -20,30 +20,34 @@ def seed_time(ts: Column) -> Column:
     return F.date_format(ts, SEED_TIME)
 
 
-def _given(text: Column) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
+def _blank(text: Column) -> Column:
+    return F.coalesce(F.trim(text) == "", F.lit(True))
 
 
 def read_double(text: Column) -> Column:
-    """Number or numeric text; absent is 0; anything else is null."""
-    given = _given(text)
-    return F.when(given.isNull(), F.lit(0.0)).otherwise(given.try_cast("double"))
+    """Number or numeric text; absent or blank is 0; anything else is null."""
+    return F.coalesce(text.try_cast("double"), F.when(_blank(text), F.lit(0.0)))
 
 
 def read_int(text: Column) -> Column:
     """As `read_double`, dropping the fraction; null outside 32 bits."""
     number = read_double(text)
-    return F.when(number.between(INT_MIN, INT_MAX), number.try_cast("int"))
+    return F.coalesce(
+        text.try_cast("int"), F.when(number.between(INT_MIN, INT_MAX), number.try_cast("int"))
+    )
 
 
 def read_time(text: Column) -> Column:
-    """ISO text with a `T`, or epoch milliseconds; null when absent or unreadable."""
-    given = _given(text)
-    millis = F.when(given.rlike(r"^-?\d{1,15}$"), F.timestamp_millis(given.try_cast("bigint")))
-    iso = F.when(given.rlike(r"^\d{4}-\d{2}-\d{2}(T.*)?$"), given.try_cast("timestamp"))
-    return F.coalesce(millis, iso)
+    """ISO text with a `T`, a date, or epoch milliseconds; null when absent or unreadable."""
+    dated = F.substring(text, 5, 1) == "-"
+    iso = dated & ((F.substring(text, 11, 1) == "T") | (F.length(text) == 10))
+    millis = text.rlike(r"^-?\d{1,15}$")
+    return F.coalesce(
+        F.when(iso, text.try_cast("timestamp")),
+        F.when(millis, F.timestamp_millis(text.try_cast("bigint"))),
+    )
 
 
 def unreadable(text: Column, value: Column) -> Column:
     """True when text was given but gave no value."""
-    return _given(text).isNotNull() & value.isNull()
+    return value.isNull() & ~_blank(text)

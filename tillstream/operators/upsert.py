@@ -1,35 +1,34 @@
 """Keyed tables from logs of changes: last row, first row, merge, insert if absent.
 
-Each picks one row per key with `max_by`/`min_by`, which Spark combines before the shuffle: a key
-that holds a third of the log sends one row per map task.
+Each picks one row per key by rank. Spark keeps only the first rank of each key before the shuffle
+as well as after it, so a key that holds a third of the log sends one row per map task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order(columns: Sequence[str | Column]) -> Column:
-    return F.struct(*[F.col(c) if isinstance(c, str) else c for c in columns])
+def _columns(order: Sequence[str | Column]) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], choose) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), _order(order)).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+def _first_ranked(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
 def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The last row per key: the state of a table that upserts every row in order."""
-    return _pick(df, keys, order, F.max_by)
+    return _first_ranked(df, keys, [c.desc() for c in _columns(order)])
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row per key: the state of a table that rejects later inserts."""
-    return _pick(df, keys, order, F.min_by)
+    return _first_ranked(df, keys, [c.asc() for c in _columns(order)])
 
 
 def upsert(table: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -57,7 +57,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_order() -> list:
     """Arrival order of `sales`: by time, then product."""
-    return ["transaction_date", F.col("product_id").cast("bigint").alias("product_number")]
+    return ["transaction_date", F.col("product_id").cast("bigint")]
 
 
 def live_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,9 +225,9 @@ def wire_times(spark, sf_dir):
 
 # Streams: the tables above, from topics of JSON messages
 
-def _topic(spark, rows: DataFrame, record, key, order: str, at: str) -> str:
-    """Publish rows to a folder of recorded messages."""
-    place = [F.lit(0).alias("partition"), F.col(order).alias("offset"), F.col(at).cast("timestamp").alias("timestamp")]
+def _topic(spark, rows: DataFrame, record, key, offset, at: str) -> str:
+    """Publish rows to a folder of recorded messages; time and offset give their order."""
+    place = [F.lit(0).alias("partition"), offset.alias("offset"), F.col(at).cast("timestamp").alias("timestamp")]
     path = new_folder(spark, f"{record.name}-topic")
     as_messages(rows, record, key, *place).write.parquet(path)
     return path
@@ -239,22 +239,26 @@ def _zoneless(table: DataFrame) -> DataFrame:
 
 
 def _run_rates(spark, updates: DataFrame) -> RatesJob:
-    topic = _topic(spark, updates, RATE, F.uuid(), "arrival_seq", "last_updated")
+    topic = _topic(spark, updates, RATE, F.uuid(), F.col("arrival_seq"), "last_updated")
     job = RatesJob(spark, new_folder(spark, "rates"))
     job.start(folder_stream(spark, topic), f"{job.root}/checkpoint", availableNow=True).awaitTermination()
     return job
 
 
-def _run_sales(spark, sf_dir, sales: DataFrame, **options) -> SalesJob:
-    topic = _topic(spark, sales, SALE, "transaction_id", "arrival_seq", "sold_at")
+def _run_sales(spark, sf_dir, sales: DataFrame, offset, **options) -> SalesJob:
+    topic = _topic(spark, sales, SALE, "transaction_id", offset, "transaction_date")
     table = rates_table(spark, sf_dir)
     job = SalesJob(spark, new_folder(spark, "sales"), lambda: table, **options)
     job.start(folder_stream(spark, topic), f"{job.root}/checkpoint", availableNow=True).awaitTermination()
     return job
 
 
-def _live(spark, sf_dir) -> DataFrame:
-    return b.live_sales(spark, sf_dir).withColumn("sold_at", F.col("transaction_date"))
+def _run_line_sales(spark, sf_dir) -> SalesJob:
+    return _run_sales(spark, sf_dir, b.sales(spark, sf_dir), F.col("product_id").cast("bigint"))
+
+
+def _run_live_sales(spark, sf_dir, **options) -> SalesJob:
+    return _run_sales(spark, sf_dir, b.live_sales(spark, sf_dir), F.col("arrival_seq"), **options)
 
 
 def stream_rates(spark, sf_dir):
@@ -267,30 +271,31 @@ def stream_rate_quarantine(spark, sf_dir):
 
 
 def stream_transactions(spark, sf_dir):
-    return _zoneless(_run_sales(spark, sf_dir, _live(spark, sf_dir)).transactions())
+    return _zoneless(_run_line_sales(spark, sf_dir).transactions())
 
 
 def stream_sales_per_day(spark, sf_dir):
-    return _run_sales(spark, sf_dir, _live(spark, sf_dir)).sales_per_day()
+    return _run_line_sales(spark, sf_dir).sales_per_day()
 
 
 def stream_category_running(spark, sf_dir):
-    return _run_sales(spark, sf_dir, _live(spark, sf_dir)).sales_per_category()
+    return _run_line_sales(spark, sf_dir).sales_per_category()
+
+
+def stream_live_transactions(spark, sf_dir):
+    return _zoneless(_run_live_sales(spark, sf_dir).transactions())
 
 
 def stream_processing_date_day(spark, sf_dir):
-    job = _run_sales(spark, sf_dir, _live(spark, sf_dir), processing_date=lambda: F.lit(RUN_DATE))
-    return job.processed("day")
+    return _run_live_sales(spark, sf_dir, processing_date=lambda: F.lit(RUN_DATE)).processed("day")
 
 
 def stream_processing_date_category(spark, sf_dir):
-    job = _run_sales(spark, sf_dir, _live(spark, sf_dir), processing_date=lambda: F.lit(RUN_DATE))
-    return job.processed("category")
+    return _run_live_sales(spark, sf_dir, processing_date=lambda: F.lit(RUN_DATE)).processed("category")
 
 
 def stream_sales_quarantine(spark, sf_dir):
-    dirty = b.dirty_sales(spark, sf_dir).withColumn("sold_at", F.col("transaction_date"))
-    rejected = _run_sales(spark, sf_dir, dirty).quarantine()
+    rejected = _run_sales(spark, sf_dir, b.dirty_sales(spark, sf_dir), F.col("arrival_seq")).quarantine()
     return rejected.groupBy("violations").agg(F.count("*").alias("sales"))
 
 
@@ -334,7 +339,7 @@ BATCH_QUERIES: list[Query] = [
 ]
 STREAM_QUERIES: list[Query] = [
     stream_rates, stream_rate_quarantine, stream_transactions, stream_sales_per_day,
-    stream_category_running, stream_processing_date_day, stream_processing_date_category,
+    stream_category_running, stream_live_transactions, stream_processing_date_day, stream_processing_date_category,
     stream_sales_quarantine, stream_category_total, stream_day_total, stream_windowed_day,
 ]
 

@@ -217,22 +217,19 @@ SQL = {
         qualify row_number() over (partition by from_currency, to_currency order by arrival_seq desc) = 1"""),
     "stream_rate_quarantine": over("checked_updates", """
         select violations, count(*) as updates from checked_updates where violations <> '' group by 1"""),
-    "stream_transactions": over("converted_live", """
+    "stream_live_transactions": over("converted_live", """
         select transaction_id, cast(null as varchar) as product_id, cast(null as varchar) as product_name,
           product_category, product_price, product_quantity, cast(null as varchar) as product_brand,
           total_amount, currency, customer_id, transaction_date, cast(null as varchar) as payment_method
         from converted_live"""),
-    "stream_sales_per_day": over("converted_live", day_sums("converted_live")),
-    "stream_category_running": over("converted_live", """
-        , days as (select cast(transaction_date as date) as transaction_date, product_category as category,
-          sum(cast(total_amount as decimal(24,6))) as amount from converted_live group by all)
-        select transaction_date, category, cast(sum(amount) over (partition by category
-          order by transaction_date rows unbounded preceding) as double) as total_sales from days"""),
     "stream_category_total": over("converted_live",
         f"select product_category as category, {MONEY_SUM} as total_sales from converted_live group by 1"),
     "stream_day_total": over("converted_live", day_sums("converted_live")),
     "stream_windowed_day": over("converted_live", day_sums("converted_live")),
 }
+SQL["stream_transactions"] = SQL["transactions_upsert"]
+SQL["stream_sales_per_day"] = SQL["sales_per_day"]
+SQL["stream_category_running"] = SQL["category_running"]
 SQL["stream_processing_date_day"] = SQL["processing_date_day"]
 SQL["stream_processing_date_category"] = SQL["processing_date_category"]
 # A sale without an event time has no arrival time either, and without an id no message key.

@@ -15,6 +15,7 @@ def build_session(app_name: str = "tillstream", master: str | None = None, **con
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

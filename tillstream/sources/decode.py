@@ -12,13 +12,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions import wire
-from tillstream.schemas import Record
+from tillstream.schemas import Field, Record
 
 DECODE_ERROR = "decode_error"
 _CORRUPT = "_corrupt"
 _READERS = {"double": wire.read_double, "int": wire.read_int, "timestamp": wire.read_time}
 
 
+def _given(field: Field) -> str:
+    return f"_{field.column}"
+
+
+def _text_of(field: Field, given: Column) -> Column:
+    return F.trim(given) if field.type == "timestamp" else given
+
+
+def _typed(field: Field) -> Column:
+    given = F.col(_given(field))
+    if field.type not in _READERS:
+        return given
+    return F.when(~F.col("_malformed"), _READERS[field.type](given))
+
+
 def wire_schema(record: Record) -> T.StructType:
     """All fields as text: coercion follows our rules, not the parser's."""
     names = [f.wire for f in record.fields] + [_CORRUPT]
@@ -37,26 +52,31 @@ def decode(
         raise ValueError(f"unknown_fields: {unknown_fields!r}")
     text = F.col(value).cast("string")
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    others = [c for c in messages.columns if c != value]
+    # One step each for the parse, the typed values and the errors, so that none is computed twice.
     parsed = (
-        messages.where(F.trim(text).isNull() | (F.trim(text) != "null"))
-        .withColumn("_text", text)
+        messages.withColumn("_text", text)
+        .where(F.col("_text").isNull() | (F.trim("_text") != "null"))
         .withColumn("_wire", F.from_json("_text", wire_schema(record), options))
     )
-    fields = F.col("_wire")
-    malformed = fields.isNull() | fields[_CORRUPT].isNotNull()
-    errors = [F.when(malformed, F.lit("malformed"))]
+    wired = F.col("_wire")
+    malformed = wired.isNull() | wired[_CORRUPT].isNotNull()
+    fields = parsed.select(
+        *others,
+        "_text",
+        malformed.alias("_malformed"),
+        *[F.when(~malformed, _text_of(f, wired[f.wire])).alias(_given(f)) for f in record.fields],
+    )
+    typed = fields.withColumns({f.column: _typed(f) for f in record.fields})
+
+    errors = [F.when(F.col("_malformed"), F.lit("malformed"))]
     if unknown_fields == "reject":
         known = F.array(*[F.lit(f.wire) for f in record.fields])
         extra = F.size(F.array_except(F.json_object_keys("_text"), known)) > 0
         errors.append(F.when(extra, F.lit("unknown_field")))
-
-    columns: list[Column] = []
-    for field in record.fields:
-        given = fields[field.wire]
-        read = _READERS[field.type](given) if field.type in _READERS else given
-        columns.append(F.when(~malformed, read).alias(field.column))
-        if field.type in _READERS:
-            errors.append(F.when(wire.unreadable(given, read), F.lit(f"bad_{field.column}")))
-    others = [c for c in messages.columns if c != value]
-    error = F.coalesce(*errors)
-    return parsed.select(*others, *columns, error.alias(DECODE_ERROR))
+    errors += [
+        F.when(wire.unreadable(F.col(_given(f)), F.col(f.column)), F.lit(f"bad_{f.column}"))
+        for f in record.fields
+        if f.type in _READERS
+    ]
+    return typed.select(*others, *record.columns, F.coalesce(*errors).alias(DECODE_ERROR))
