@@ -39,13 +39,13 @@ def shared_folder(spark: SparkSession) -> str:
     A local session without the setting gets a temporary folder; on a cluster that would be
     a different disk on every machine, so there a missing setting is an error.
     """
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
+    configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="tillstream-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
