@@ -1,0 +1,338 @@
+"""Streams against batch: several batches, late rows, replays, restarts, live rates."""
+
+import datetime
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import dicts
+from tillstream.schemas import MESSAGE
+from tillstream.sinks.versions import Versions
+from tillstream.sources.topics import folder_stream, folder_table
+from tillstream.streaming.event_time import windowed_sales_per_day
+from tillstream.streaming.rates_job import RatesJob
+from tillstream.streaming.running import keep_totals, published, running_sum
+from tillstream.streaming.sales_job import SalesJob
+
+DAY = datetime.date
+
+
+class Topic:
+    """A folder of recorded messages, one file for each call of `send`."""
+
+    def __init__(self, spark, path):
+        self.spark, self.path, self.offset = spark, str(path), 0
+
+    def send(self, *messages, at="2024-01-01T00:00:00"):
+        rows = []
+        for message in messages:
+            text = message if isinstance(message, str) else json.dumps(message)
+            rows.append((None, text, 0, self.offset, datetime.datetime.fromisoformat(at)))
+            self.offset += 1
+        self.spark.createDataFrame(rows, MESSAGE).coalesce(1).write.mode("append").parquet(self.path)
+        return self
+
+    def stream(self):
+        return folder_stream(self.spark, self.path, maxFilesPerTrigger="1")
+
+
+def sale(key, amount, day=1, currency="EUR", category="home", **other):
+    return {
+        "transactionId": key, "totalAmount": amount, "currency": currency, "productCategory": category,
+        "transactionDate": f"2024-01-{day:02d}T12:00:00.000000",
+    } | other
+
+
+def rate(code, value, day=1, **other):
+    return {
+        "fromCurrency": code, "toCurrency": "USD", "exchangeRate": value,
+        "lastUpdated": f"2024-01-{day:02d}T00:00:00.000000",
+    } | other
+
+
+def run(job, topic, name="checkpoint"):
+    job.start(topic.stream(), f"{job.root}/{name}", availableNow=True).awaitTermination()
+    return job
+
+
+@pytest.fixture
+def rates_job(spark, tmp_path):
+    return RatesJob(spark, str(tmp_path / "rates"))
+
+
+@pytest.fixture
+def sales_job(spark, tmp_path, rates_job):
+    return SalesJob(spark, str(tmp_path / "sales"), rates_job.table)
+
+
+@pytest.fixture
+def rates_topic(spark, tmp_path):
+    return Topic(spark, tmp_path / "rates-topic")
+
+
+@pytest.fixture
+def sales_topic(spark, tmp_path):
+    return Topic(spark, tmp_path / "sales-topic")
+
+
+def stored(job):
+    return {r.from_currency: float(r.exchange_rate) for r in job.table().collect()}
+
+
+# Rates
+
+def test_rates_over_several_batches(rates_job, rates_topic):
+    rates_topic.send(rate("EUR", 2), rate("JPY", 3)).send(rate("EUR", 4, day=5)).send(rate("EUR", 5, day=3))
+    run(rates_job, rates_topic)
+    assert stored(rates_job) == {"EUR": 5.0, "JPY": 3.0}
+    assert rates_job.versions.numbers() == [0, 1, 2]
+
+
+def test_newest_time_can_win_instead(spark, tmp_path, rates_topic):
+    rates_topic.send(rate("EUR", 4, day=5)).send(rate("EUR", 5, day=3))
+    assert stored(run(RatesJob(spark, str(tmp_path / "r"), newest_time_wins=True), rates_topic)) == {"EUR": 4.0}
+
+
+def test_bad_rates_are_set_aside(rates_job, rates_topic):
+    future = rate("EUR", 9) | {"lastUpdated": "2999-01-01T00:00:00"}
+    rates_topic.send("not json", "null", rate("EURO", 2), rate("EUR", 0), future, rate("EUR", "2.5"))
+    run(rates_job, rates_topic)
+    assert stored(rates_job) == {"EUR": 2.5}
+    found = {r.violations: r.message for r in rates_job.quarantine().collect()}
+    assert found["long_from_currency"] == json.dumps(rate("EURO", 2))
+    assert found["rate_not_positive"] == json.dumps(rate("EUR", 0))
+    assert found["future_last_updated"] == json.dumps(future)
+    assert [m for v, m in found.items() if v.startswith("malformed")] == ["not json"]
+    assert len(found) == 4
+
+
+def test_only_bad_rows_in_a_batch(rates_job, rates_topic):
+    rates_topic.send("not json").send(rate("EUR", 2)).send("null")
+    assert stored(run(rates_job, rates_topic)) == {"EUR": 2.0}
+
+
+def test_seeding(rates_job, rates_topic, updates):
+    assert rates_job.table().count() == 0
+    assert rates_job.seed(updates({"exchange_rate": 7.0}, {"from_currency": "JPY", "exchange_rate": 8.0}))
+    assert stored(rates_job) == {"EUR": 7.0, "JPY": 8.0}
+    assert not rates_job.seed(updates({"exchange_rate": 9.0}))
+    rates_topic.send(rate("EUR", 2))
+    assert stored(run(rates_job, rates_topic)) == {"EUR": 2.0, "JPY": 8.0}
+
+
+def test_old_versions_are_dropped(spark, tmp_path, rates_topic):
+    for n in range(1, 5):
+        rates_topic.send(rate("EUR", n))
+    job = run(RatesJob(spark, str(tmp_path / "r"), keep_versions=2), rates_topic)
+    assert job.versions.numbers() == [2, 3]
+    assert stored(job) == {"EUR": 4.0}
+
+
+# Sales
+
+def test_sales_tables(rates_job, sales_job, rates_topic, sales_topic):
+    run(rates_job, rates_topic.send(rate("EUR", 2), rate("USD", 3)))
+    sales_topic.send(sale("a", 10.0), sale("b", 1.0, day=2, currency="USD", category="food"))
+    sales_topic.send(sale("a", 20.0, day=2), sale("c", 5.0, day=2, currency="GBP", category="food"))
+    run(sales_job, sales_topic)
+    assert dicts(sales_job.transactions(), "transaction_id", "total_amount", "currency") == [
+        {"transaction_id": "a", "total_amount": 40.0, "currency": "EUR"},
+        {"transaction_id": "b", "total_amount": 3.0, "currency": "USD"},
+        {"transaction_id": "c", "total_amount": 5.0, "currency": "GBP"},
+    ]
+    assert dicts(sales_job.sales_per_day()) == [
+        {"transaction_date": DAY(2024, 1, 1), "total_sales": 20.0},
+        {"transaction_date": DAY(2024, 1, 2), "total_sales": 48.0},
+    ]
+    assert dicts(sales_job.sales_per_category()) == [
+        {"transaction_date": DAY(2024, 1, 1), "category": "home", "total_sales": 20.0},
+        {"transaction_date": DAY(2024, 1, 2), "category": "food", "total_sales": 8.0},
+        {"transaction_date": DAY(2024, 1, 2), "category": "home", "total_sales": 60.0},
+    ]
+
+
+def test_empty_tables_before_the_first_batch(sales_job):
+    assert sales_job.transactions().count() == 0
+    assert sales_job.sales_per_day().count() == 0
+    assert sales_job.sales_per_category().count() == 0
+
+
+def test_no_rates_yet_and_unreadable_rates(spark, tmp_path, sales_job, sales_topic):
+    run(sales_job, sales_topic.send(sale("a", 10.0)))
+    assert [r.rate_status for r in sales_job.log.accepted(0).collect()] == ["missing"]
+    broken = SalesJob(spark, str(tmp_path / "broken"), lambda: spark.read.parquet(str(tmp_path / "none")))
+    run(broken, sales_topic)
+    assert [(r.rate_status, r.total_amount) for r in broken.log.accepted(0).collect()] == [("unavailable", 10.0)]
+    strict = SalesJob(spark, str(tmp_path / "strict"), broken.read_rates, on_rates_error="fail")
+    with pytest.raises(Exception):
+        run(strict, sales_topic)
+
+
+def test_each_batch_uses_the_rates_of_its_moment(rates_job, sales_job, rates_topic, sales_topic):
+    run(rates_job, rates_topic.send(rate("EUR", 2)))
+    run(sales_job, sales_topic.send(sale("a", 10.0)))
+    run(rates_job, rates_topic.send(rate("EUR", 5)))
+    run(sales_job, sales_topic.send(sale("b", 10.0)))
+    assert dicts(sales_job.transactions(), "transaction_id", "total_amount") == [
+        {"transaction_id": "a", "total_amount": 20.0}, {"transaction_id": "b", "total_amount": 50.0},
+    ]
+
+
+def test_late_sales_count(sales_job, sales_topic):
+    for day in (1, 20, 21):
+        sales_topic.send(sale(f"s{day}", 1.0, day=day))
+    sales_topic.send(sale("late", 4.0, day=1))
+    run(sales_job, sales_topic)
+    assert dicts(sales_job.sales_per_day())[0] == {"transaction_date": DAY(2024, 1, 1), "total_sales": 5.0}
+
+
+def test_replayed_batch_changes_nothing(rates_job, sales_job, sales_topic):
+    sales_topic.send(sale("a", 1.0)).send(sale("b", 2.0), sale("a", 4.0))
+    run(sales_job, sales_topic)
+
+    def tables():
+        return [dicts(t) for t in (sales_job.transactions(), sales_job.sales_per_day(), sales_job.sales_per_category())]
+
+    before = tables()
+    newest = sales_job.committed()
+    again = sales_job.log.accepted(newest).drop("rate_status").withColumns(
+        {"message": F.lit(None).cast("string"), "decode_error": F.lit(None).cast("string")}
+    )
+    again = again.checkpoint()
+    sales_job.process(again, newest)
+    sales_job.process(again, newest)
+    assert tables() == before
+
+
+def test_half_written_batch_is_not_seen(sales_job, sales_topic):
+    run(sales_job, sales_topic.send(sale("a", 1.0)))
+    rows = sales_job.log.accepted(0).withColumn("transaction_id", F.lit("half")).withColumn("violations", F.lit(""))
+    sales_job.log.write(1, rows)
+    assert [r["transaction_id"] for r in dicts(sales_job.transactions())] == ["a"]
+
+
+def test_restart_resumes(spark, sales_job, sales_topic):
+    run(sales_job, sales_topic.send(sale("a", 1.0)))
+    run(sales_job, sales_topic)
+    later = SalesJob(spark, sales_job.root, sales_job.read_rates)
+    run(later, sales_topic.send(sale("b", 2.0)))
+    assert dicts(later.sales_per_day()) == [{"transaction_date": DAY(2024, 1, 1), "total_sales": 3.0}]
+
+
+def test_rebuild_from_scratch(spark, tmp_path, sales_job, sales_topic):
+    run(sales_job, sales_topic.send(sale("a", 1.0)).send(sale("a", 2.0)))
+    rebuilt = run(SalesJob(spark, str(tmp_path / "again"), sales_job.read_rates), sales_topic)
+    assert dicts(rebuilt.transactions()) == dicts(sales_job.transactions())
+    assert dicts(rebuilt.sales_per_day()) == dicts(sales_job.sales_per_day())
+
+
+def test_compaction_keeps_the_tables(sales_job, sales_topic):
+    for n in range(4):
+        sales_topic.send(sale("a", float(n)), sale(f"b{n}", 1.0), "not json")
+    run(sales_job, sales_topic)
+    before = dicts(sales_job.transactions())
+    sales_job.compact()
+    sales_job.compact()
+    assert sales_job.versions("compacted").numbers() == [2]
+    assert dicts(sales_job.transactions()) == before
+    sales_job.drop_compacted()
+    assert dicts(sales_job.transactions()) == before
+    assert sales_job.quarantine().count() == 4
+    run(sales_job, sales_topic.send(sale("a", 9.0)))
+    sales_job.compact()
+    sales_job.drop_compacted()
+    assert [r.total_amount for r in sales_job.transactions().where("transaction_id = 'a'").collect()] == [9.0]
+
+
+def test_bad_sales_are_set_aside_or_fail(spark, tmp_path, sales_job, sales_topic):
+    sales_topic.send(sale("a", 1.0), sale(None, 2.0), sale("c", 3.0, category=None), sale("d", 4.0, colour="red"))
+    run(sales_job, sales_topic)
+    assert [r["transaction_id"] for r in dicts(sales_job.transactions())] == ["a"]
+    reasons = sorted(r.violations for r in sales_job.quarantine().collect())
+    assert reasons == ["missing_product_category", "missing_transaction_id", "unknown_field"]
+    strict = SalesJob(spark, str(tmp_path / "strict"), sales_job.read_rates, on_bad_row="fail")
+    with pytest.raises(Exception, match="row breaks"):
+        run(strict, sales_topic)
+    assert strict.committed() is None
+
+
+def test_large_rate_table_joins_by_shuffle(spark, tmp_path, rates_job, rates_topic, sales_topic):
+    run(rates_job, rates_topic.send(rate("EUR", 2)))
+    job = SalesJob(spark, str(tmp_path / "s"), rates_job.table, broadcast_rows=0)
+    run(job, sales_topic.send(sale("a", 10.0)).send(sale("b", 1.0, currency="GBP")))
+    assert [r["total_amount"] for r in dicts(job.transactions(), "transaction_id", "total_amount")] == [20.0, 1.0]
+
+
+def test_processing_date_tables(spark, tmp_path, sales_job, sales_topic):
+    dates = iter([DAY(2024, 2, 1), DAY(2024, 2, 1), DAY(2024, 2, 2)])
+    job = SalesJob(spark, str(tmp_path / "s"), sales_job.read_rates, processing_date=lambda: F.lit(next(dates)))
+    sales_topic.send(sale("a", 1.0, day=1), sale("b", 2.0, day=2, category="food"))
+    sales_topic.send(sale("c", 4.0, day=1))
+    sales_topic.send(sale("d", 8.0, day=2))
+    run(job, sales_topic)
+    assert dicts(job.processed("category")) == [
+        {"transaction_date": DAY(2024, 2, 1), "category": "food", "total_sales": 2.0},
+        {"transaction_date": DAY(2024, 2, 1), "category": "home", "total_sales": 5.0},
+        {"transaction_date": DAY(2024, 2, 2), "category": "home", "total_sales": 13.0},
+    ]
+    assert dicts(job.processed("day")) == [
+        {"transaction_date": DAY(2024, 2, 1), "total_sales": 5.0},
+        {"transaction_date": DAY(2024, 2, 2), "total_sales": 10.0},
+    ]
+
+
+# State-store totals
+
+def sales_stream(spark, path):
+    schema = "transaction_id string, product_category string, total_amount double, transaction_date timestamp"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(path)
+
+
+@pytest.fixture
+def sales_folder(spark, tmp_path):
+    path = str(tmp_path / "typed")
+
+    def add(*rows):
+        schema = "transaction_id string, product_category string, total_amount double, transaction_date string"
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").json(path)
+        return path
+
+    return add
+
+
+def totals_of(spark, tmp_path, name, sums, keys):
+    table = Versions(spark, str(tmp_path / name))
+    keep_totals(sums, keys, table, f"{table.root}/checkpoint", availableNow=True).awaitTermination()
+    return dicts(published(table))
+
+
+def test_running_sum_and_restart(spark, tmp_path, sales_folder):
+    path = sales_folder(("a", "home", 1.0, "2024-01-01T00:00:00"), ("b", "food", 2.0, "2024-01-01T00:00:00"))
+    sales_folder(("c", "home", 4.0, "2024-01-20T00:00:00"))
+
+    def totals():
+        sums = running_sum(sales_stream(spark, path), F.col("product_category"), "category")
+        return totals_of(spark, tmp_path, "sums", sums, ["category"])
+
+    assert totals() == [{"category": "food", "total_sales": 2.0}, {"category": "home", "total_sales": 5.0}]
+    sales_folder(("d", "home", 8.0, "2023-01-01T00:00:00"))
+    assert totals() == [{"category": "food", "total_sales": 2.0}, {"category": "home", "total_sales": 13.0}]
+
+
+def test_windows_drop_late_sales_where_plain_days_keep_them(spark, tmp_path, sales_folder):
+    path = sales_folder(("a", "home", 1.0, "2024-01-01T00:00:00"))
+    sales_folder(("b", "home", 2.0, "2024-01-05T00:00:00"))
+    sales_folder(("c", "home", 4.0, "2024-01-06T00:00:00"))
+    sales_folder(("late", "home", 8.0, "2024-01-01T12:00:00"))
+    stream = sales_stream(spark, path)
+    windowed = totals_of(spark, tmp_path, "windowed", windowed_sales_per_day(stream), ["transaction_date"])
+    plain = totals_of(spark, tmp_path, "plain", running_sum(stream, F.to_date("transaction_date"), "transaction_date"), ["transaction_date"])
+    assert [r["total_sales"] for r in windowed] == [1.0, 2.0, 4.0]
+    assert [r["total_sales"] for r in plain] == [9.0, 2.0, 4.0]
+
+
+def test_folder_topic_as_table(rates_topic, spark):
+    rates_topic.send(rate("EUR", 2))
+    row = folder_table(spark, rates_topic.path).first()
+    assert json.loads(row.value)["fromCurrency"] == "EUR" and row.arrival.offset == 0
