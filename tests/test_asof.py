@@ -63,7 +63,7 @@ def test_random(sales, updates, seed, span, width):
 
 def test_slot_width_narrows_until_slots_are_small(spark):
     second = spark.range(3000).select(F.lit("EUR").alias("_code"), (F.col("id") * 1000).alias("_from"))
-    assert asof.slot_width(second) == asof.SECOND
+    assert asof.slot_width(second, most=1000) == asof.SECOND
     assert asof.slot_width(second, most=999) == asof.MILLI
     assert asof.slot_width(second, most=5000) == asof.DAY
     assert asof.slot_width(spark.range(5000).select(F.lit("EUR").alias("_code"), F.col("id").alias("_from"))) == asof.MILLI

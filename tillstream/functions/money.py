@@ -19,7 +19,7 @@ def unit_price(price: Column) -> Column:
 
 def converted(amount: Column, rate: Column) -> Column:
     """Amount at a rate, in double; no rate means 1."""
-    return amount * F.coalesce(rate.cast("double"), F.lit(1.0))
+    return amount * F.coalesce(rate, F.lit(1.0))
 
 
 def stored_rate(rate: Column) -> Column:

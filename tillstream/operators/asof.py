@@ -16,9 +16,10 @@ from tillstream.operators.enrich import BROADCAST_ROWS, small_or_shuffled, with_
 from tillstream.session import settled
 
 DAY, HOUR, MINUTE, SECOND, MILLI = 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000
-# At the finest width a slot holds at most 1000 distinct microseconds.
+# A sale is tested against each change of its slot, so slots with few changes are wanted. At the
+# finest width a slot has no room for more than 1000 distinct microseconds.
 SLOT_WIDTHS = (DAY, HOUR, MINUTE, SECOND, MILLI)
-CHANGES_PER_SLOT = 1000
+CHANGES_PER_SLOT = 64
 
 
 def micros(ts: Column) -> Column:
@@ -37,7 +38,7 @@ def rate_changes(rates: DataFrame, base: str, arrival: list[str]) -> DataFrame:
         .select(
             F.col("from_currency").alias("_code"),
             micros(F.col("last_updated")).alias("_from"),
-            F.col("exchange_rate").alias("_rate"),
+            F.col("exchange_rate").cast("double").alias("_rate"),
             F.struct(*arrival).alias("_arrival"),
         )
         .where(F.col("_from").isNotNull())
@@ -62,6 +63,32 @@ def slot_width(changes: DataFrame, most: int = CHANGES_PER_SLOT) -> int:
     return next((w for w in SLOT_WIDTHS if w not in crowded), SLOT_WIDTHS[-1])
 
 
+def carried_in(slots: DataFrame) -> DataFrame:
+    """Add to each slot the last rate of any earlier slot, as `_rate`.
+
+    Rates are carried from day to day first and then within each day, so that no window is longer
+    than the days of a currency or the slots of a day.
+    """
+    whole_slots = slots.select("*", slot_of(F.col("_slot"), DAY).alias("_day"), F.lit(1).alias("_step"))
+    last_change = F.when(F.col("_closing").isNotNull(), F.col("_slot"))
+    days = whole_slots.groupBy("_code", "_day").agg(F.max_by("_closing", last_change).alias("_closing"))
+
+    def earlier(group: list[str], order: list[str]) -> Column:
+        before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.last("_closing", ignorenulls=True).over(before)
+
+    day_starts = days.select(
+        "_code",
+        F.col("_day").alias("_slot"),
+        F.lit(False).alias("_sold"),
+        earlier(["_code"], ["_day"]).alias("_closing"),
+        "_day",
+        F.lit(0).alias("_step"),
+    )
+    rate = earlier(["_code", "_day"], ["_slot", "_step"])
+    return whole_slots.unionByName(day_starts).withColumn("_rate", rate)
+
+
 def rate_spans(sales: DataFrame, changes: DataFrame, at: str, width: int) -> DataFrame:
     """For each currency and slot with sales: the rates in force and the span of each."""
     sold = sales.where(F.col("currency").isNotNull()).select(
@@ -69,7 +96,7 @@ def rate_spans(sales: DataFrame, changes: DataFrame, at: str, width: int) -> Dat
         slot_of(micros(F.col(at)), width).alias("_slot"),
         F.lit(True).alias("_sold"),
         F.lit(None).cast("bigint").alias("_from"),
-        F.lit(None).cast(changes.schema["_rate"].dataType).alias("_rate"),
+        F.lit(None).cast("double").alias("_rate"),
     )
     changed = changes.select(
         "_code", slot_of(F.col("_from"), width).alias("_slot"), F.lit(False).alias("_sold"), "_from", "_rate"
@@ -79,9 +106,8 @@ def rate_spans(sales: DataFrame, changes: DataFrame, at: str, width: int) -> Dat
         .groupBy("_code", "_slot")
         .agg(F.max("_sold").alias("_sold"), F.max_by("_rate", "_from").alias("_closing"))
     )
-    before = Window.partitionBy("_code").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        slots.withColumn("_rate", F.last("_closing", ignorenulls=True).over(before))
+        carried_in(slots)
         .where(F.col("_sold"))
         .select("_code", "_slot", F.col("_slot").alias("_from"), "_rate", F.lit(0).alias("_step"))
     )

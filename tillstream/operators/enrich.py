@@ -23,7 +23,7 @@ def small_or_shuffled(side: DataFrame, max_rows: int) -> DataFrame:
 def rates_into(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     """One rate per source currency. A rate holds in its stored direction only."""
     return rates.where(F.col("to_currency") == base).select(
-        F.col("from_currency").alias("_code"), F.col("exchange_rate").alias("_rate")
+        F.col("from_currency").alias("_code"), F.col("exchange_rate").cast("double").alias("_rate")
     )
 
 

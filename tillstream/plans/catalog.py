@@ -14,7 +14,7 @@ from tillstream.operators import asof, enrich, quality, rates, totals, upsert
 from tillstream.plans import bindings as b
 from tillstream.schemas import RATE, SALE
 from tillstream.session import new_folder, settled, use_utc
-from tillstream.sinks.publish import as_messages
+from tillstream.sinks.publish import as_messages, publish_folder
 from tillstream.sinks.versions import Versions
 from tillstream.sources.decode import decode
 from tillstream.sources.topics import folder_stream
@@ -229,7 +229,7 @@ def _topic(spark, rows: DataFrame, record, key, offset, at: str) -> str:
     """Publish rows to a folder of recorded messages; time and offset give their order."""
     place = [F.lit(0).alias("partition"), offset.alias("offset"), F.col(at).cast("timestamp").alias("timestamp")]
     path = new_folder(spark, f"{record.name}-topic")
-    as_messages(rows, record, key, *place).write.parquet(path)
+    publish_folder(as_messages(rows, record, key, *place), path)
     return path
 
 

@@ -19,6 +19,7 @@ def build_session(app_name: str = "tillstream", master: str | None = None, **con
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
     if master:
         builder = builder.master(master)

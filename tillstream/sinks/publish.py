@@ -12,6 +12,8 @@ from tillstream.schemas import Record
 # Delivery settings of the message producer.
 PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.retries": "3", "kafka.linger.ms": "5"}
 
+RECORDED_GROUP_BYTES = 16 << 20
+
 
 def _wire_value(rows: DataFrame, column: str) -> Column:
     kind = rows.schema[column].dataType
@@ -30,6 +32,11 @@ def as_messages(rows: DataFrame, record: Record, key: str | Column, *extra: str
     return rows.select(key_text.alias("key"), F.to_json(body).alias("value"), *extra)
 
 
+def publish_folder(messages: DataFrame, path: str) -> None:
+    """Record messages in a folder, in row groups small enough for many readers."""
+    messages.write.option("parquet.block.size", RECORDED_GROUP_BYTES).parquet(path)
+
+
 def publish(messages: DataFrame, brokers: str, topic: str) -> None:
     """Send messages to a broker. Needs the Kafka connector on the class path."""
     writer = messages.select("key", "value").write.format("kafka").options(**PRODUCER_OPTIONS)
