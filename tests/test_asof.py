@@ -36,10 +36,11 @@ def test_boundaries(sales, updates):
         assert values(out, "rate_status") == ["missing"] + ["hit"] * 4 + ["missing"] * 3
 
 
-@pytest.mark.parametrize("seed, span, width", [
-    (1, 50, 10), (2, 50, 7), (3, 2000, 1000), (4, 80_000_000_000, None), (5, 80_000_000_000, asof.HOUR), (6, 30, 1),
+@pytest.mark.parametrize("seed, span, most", [
+    (1, 50, 1), (2, 3 * asof.MILLI, 1), (3, 3 * asof.SECOND, 1), (4, 3 * asof.MINUTE, 2), (5, 23 * asof.HOUR, 64),
+    (6, 23 * asof.HOUR, 1), (7, 3 * asof.HOUR, 8),
 ])
-def test_random(sales, updates, seed, span, width):
+def test_random(sales, updates, seed, span, most):
     pick = random.Random(seed)
     codes = ["EUR", "JPY", "EUR", "KRW"]
     changes = [
@@ -57,16 +58,37 @@ def test_random(sales, updates, seed, span, width):
                  for n, s in enumerate(sold)])
     expected = [rate(s["currency"], s["at"]) for s in sold]
     for limit in (asof.BROADCAST_ROWS, 0):
-        out = asof.convert_as_of(df, rates, broadcast_rows=limit, width=width)
+        out = asof.convert_as_of(df, rates, broadcast_rows=limit, changes_per_slot=most)
         assert values(out, "total_amount") == expected
 
 
-def test_slot_width_narrows_until_slots_are_small(spark):
-    second = spark.range(3000).select(F.lit("EUR").alias("_code"), (F.col("id") * 1000).alias("_from"))
-    assert asof.slot_width(second, most=1000) == asof.SECOND
-    assert asof.slot_width(second, most=999) == asof.MILLI
-    assert asof.slot_width(second, most=5000) == asof.DAY
-    assert asof.slot_width(spark.range(5000).select(F.lit("EUR").alias("_code"), F.col("id").alias("_from"))) == asof.MILLI
+def test_slots_narrow_on_busy_days_only(spark):
+    """One currency changes every millisecond for three seconds, then once a day."""
+    second_day = F.lit(asof.DAY)
+    busy = spark.range(3000).select(F.lit("EUR").alias("_code"), (F.col("id") * asof.MILLI).alias("_from"))
+    calm = spark.range(3).select(F.lit("EUR").alias("_code"), (F.col("id") * asof.HOUR + second_day).alias("_from"))
+    changes = busy.unionByName(calm)
+
+    def widths(most):
+        return {(r["_code"], r["_day"]): r["_width"] for r in asof.busy_days(changes, most).collect()}
+
+    assert widths(1000) == {("EUR", 0): asof.SECOND}
+    assert widths(100) == {("EUR", 0): 100 * asof.MILLI}
+    assert widths(5000) == {}
+    assert widths(2) == {("EUR", 0): asof.MILLI, ("EUR", asof.DAY): asof.HOUR}
+    crowded = spark.range(2000).select(F.lit("EUR").alias("_code"), F.col("id").alias("_from"))
+    assert [r["_width"] for r in asof.busy_days(crowded).collect()] == [asof.MILLI]
+
+
+def test_rates_carry_over_days(sales, updates):
+    rates = updates(*[
+        {"last_updated": f"2024-01-0{d}T10:00:00.00000{n}", "exchange_rate": float(10 * d + n)}
+        for d in (1, 2, 5) for n in range(5)
+    ])
+    df = sales(*[{"transaction_id": str(d), "transaction_date": f"2024-01-0{d}T09:00:00"} for d in range(1, 8)])
+    for most in (1, 64):
+        out = asof.convert_as_of(df, rates, changes_per_slot=most)
+        assert values(out, "total_amount") == [1.0, 14.0, 24.0, 24.0, 24.0, 54.0, 54.0]
 
 
 def test_times_before_1970(sales, updates):

@@ -1,9 +1,10 @@
 """Convert sales by the rate that was valid at the time of sale.
 
-Time is cut into slots. A lookup table lists, for every currency and slot, the rates in force and
-their spans: the rate carried into the slot, then each change inside it. A sale meets the rates of
-its own currency and slot only, by an equality join with a span test, so sales are never sorted and
-are shuffled only if the lookup outgrows a broadcast.
+Time is cut into slots, finer on days when a currency's rate changes often. A lookup table lists,
+for every currency and slot, the rates in force and their spans: the rate carried into the slot,
+then each change inside it. A sale meets the rates of its own currency and slot only, by an equality
+join with a span test, so sales are never sorted and are shuffled only if the lookup outgrows a
+broadcast.
 """
 
 from __future__ import annotations
@@ -15,10 +16,15 @@ from tillstream.functions.codes import BASE_CURRENCY
 from tillstream.operators.enrich import BROADCAST_ROWS, small_or_shuffled, with_converted_amount
 from tillstream.session import settled
 
-DAY, HOUR, MINUTE, SECOND, MILLI = 86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000
+MILLI, SECOND = 1_000, 1_000_000
+MINUTE = 60 * SECOND
+HOUR = 60 * MINUTE
+DAY = 24 * HOUR
 # A sale is tested against each change of its slot, so slots with few changes are wanted. At the
 # finest width a slot has no room for more than 1000 distinct microseconds.
-SLOT_WIDTHS = (DAY, HOUR, MINUTE, SECOND, MILLI)
+SLOT_WIDTHS = (
+    DAY, HOUR, 10 * MINUTE, MINUTE, 10 * SECOND, SECOND, 100 * MILLI, 10 * MILLI, MILLI,
+)
 CHANGES_PER_SLOT = 64
 
 
@@ -26,9 +32,9 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def slot_of(at: Column, width: int) -> Column:
+def slot_of(at: Column, width: Column | int) -> Column:
     """Start of the slot, in microseconds."""
-    return at - F.pmod(at, F.lit(width))
+    return at - F.pmod(at, width if isinstance(width, Column) else F.lit(width))
 
 
 def rate_changes(rates: DataFrame, base: str, arrival: list[str]) -> DataFrame:
@@ -47,20 +53,35 @@ def rate_changes(rates: DataFrame, base: str, arrival: list[str]) -> DataFrame:
     )
 
 
-def slot_width(changes: DataFrame, most: int = CHANGES_PER_SLOT) -> int:
-    """The widest slot in which no currency changes more than `most` times."""
+def busy_days(changes: DataFrame, most: int = CHANGES_PER_SLOT) -> DataFrame:
+    """Slot width of each currency and day on which a whole day is too wide.
+
+    It is the widest in which no slot of the day has more than `most` changes, or else the finest.
+    """
     widths = F.array(*[F.lit(w).cast("bigint") for w in SLOT_WIDTHS])
-    crowded = {
-        row["_width"]
-        for row in changes.select("_code", "_from", F.explode(widths).alias("_width"))
-        .groupBy("_width", "_code", (F.col("_from") - F.pmod("_from", "_width")).alias("_slot"))
+    crowd = (
+        changes.select("_code", "_from", F.explode(widths).alias("_width"))
+        .groupBy("_code", "_width", slot_of(F.col("_from"), F.col("_width")).alias("_slot"))
         .count()
-        .groupBy("_width")
+        .groupBy("_code", slot_of(F.col("_slot"), DAY).alias("_day"), "_width")
         .agg(F.max("count").alias("_most"))
-        .where(F.col("_most") > most)
-        .collect()
-    }
-    return next((w for w in SLOT_WIDTHS if w not in crowded), SLOT_WIDTHS[-1])
+    )
+    fitting = (F.col("_most") <= most) | (F.col("_width") == SLOT_WIDTHS[-1])
+    return (
+        crowd.where(fitting)
+        .groupBy("_code", "_day")
+        .agg(F.max("_width").alias("_width"))
+        .where(F.col("_width") < DAY)
+    )
+
+
+def with_slots(rows: DataFrame, code: Column, at: Column, widths: DataFrame) -> DataFrame:
+    """Add the currency `_code`, the time `_at` in microseconds, and the slot from `_slot` to `_end`."""
+    placed = rows.withColumns({"_code": code, "_at": at})
+    placed = placed.withColumn("_day", slot_of(F.col("_at"), DAY)).join(widths, ["_code", "_day"], "left")
+    width = F.coalesce("_width", F.lit(DAY))
+    placed = placed.withColumn("_slot", slot_of(F.col("_at"), width))
+    return placed.withColumn("_end", F.col("_slot") + width).drop("_day", "_width")
 
 
 def carried_in(slots: DataFrame) -> DataFrame:
@@ -80,6 +101,7 @@ def carried_in(slots: DataFrame) -> DataFrame:
     day_starts = days.select(
         "_code",
         F.col("_day").alias("_slot"),
+        F.lit(None).cast("bigint").alias("_end"),
         F.lit(False).alias("_sold"),
         earlier(["_code"], ["_day"]).alias("_closing"),
         "_day",
@@ -89,36 +111,34 @@ def carried_in(slots: DataFrame) -> DataFrame:
     return whole_slots.unionByName(day_starts).withColumn("_rate", rate)
 
 
-def rate_spans(sales: DataFrame, changes: DataFrame, at: str, width: int) -> DataFrame:
-    """For each currency and slot with sales: the rates in force and the span of each."""
-    sold = sales.where(F.col("currency").isNotNull()).select(
-        F.col("currency").alias("_code"),
-        slot_of(micros(F.col(at)), width).alias("_slot"),
-        F.lit(True).alias("_sold"),
-        F.lit(None).cast("bigint").alias("_from"),
-        F.lit(None).cast("double").alias("_rate"),
-    )
-    changed = changes.select(
-        "_code", slot_of(F.col("_from"), width).alias("_slot"), F.lit(False).alias("_sold"), "_from", "_rate"
-    )
+def rate_spans(sold: DataFrame, changed: DataFrame) -> DataFrame:
+    """For each currency and slot with sales: the rates in force and the span of each.
+
+    `sold` and `changed` hold the slots of sales and of rate changes.
+    """
+    no_change = {"_from": F.lit(None).cast("bigint"), "_rate": F.lit(None).cast("double")}
     slots = (
-        sold.unionByName(changed)
+        sold.select("_code", "_slot", "_end").withColumns({"_sold": F.lit(True), **no_change})
+        .unionByName(changed.select("_code", "_slot", "_end", F.lit(False).alias("_sold"), "_from", "_rate"))
         .groupBy("_code", "_slot")
-        .agg(F.max("_sold").alias("_sold"), F.max_by("_rate", "_from").alias("_closing"))
+        .agg(
+            F.max("_end").alias("_end"),
+            F.max("_sold").alias("_sold"),
+            F.max_by("_rate", "_from").alias("_closing"),
+        )
     )
     carried = (
         carried_in(slots)
         .where(F.col("_sold"))
-        .select("_code", "_slot", F.col("_slot").alias("_from"), "_rate", F.lit(0).alias("_step"))
+        .select("_code", "_slot", "_end", F.col("_slot").alias("_from"), "_rate", F.lit(0).alias("_step"))
     )
-    inside = changed.select("_code", "_slot", "_from", "_rate", F.lit(1).alias("_step"))
+    inside = changed.select("_code", "_slot", "_end", "_from", "_rate", F.lit(1).alias("_step"))
     order = Window.partitionBy("_code", "_slot").orderBy("_from", "_step")
-    until = F.coalesce(F.lead("_from").over(order), F.col("_slot") + F.lit(width))
     return (
         carried.unionByName(inside)
-        .withColumn("_until", until)
+        .withColumn("_until", F.coalesce(F.lead("_from").over(order), "_end"))
         .where(F.col("_rate").isNotNull())
-        .drop("_step")
+        .select("_code", "_slot", "_from", "_until", "_rate")
     )
 
 
@@ -129,19 +149,21 @@ def convert_as_of(
     at: str = "transaction_date",
     arrival: tuple[str, ...] = ("arrival_seq",),
     broadcast_rows: int = BROADCAST_ROWS,
-    width: int | None = None,
+    changes_per_slot: int = CHANGES_PER_SLOT,
 ) -> DataFrame:
     """Each sale once, its amount times the last rate at or before its own time (else 1)."""
     changes = settled(rate_changes(rates, base, list(arrival)))
-    width = width or slot_width(changes)
-    spans = settled(rate_spans(sales, changes, at, width))
-    lookup = small_or_shuffled(spans, broadcast_rows)
-    sold_at = micros(sales[at])
+    widths = small_or_shuffled(settled(busy_days(changes, changes_per_slot)), broadcast_rows)
+    placed = with_slots(sales, F.col("currency"), micros(F.col(at)), widths)
+    changed = with_slots(changes, F.col("_code"), F.col("_from"), widths)
+    sold = placed.where(F.col("_code").isNotNull() & F.col("_at").isNotNull())
+    lookup = small_or_shuffled(settled(rate_spans(sold, changed)), broadcast_rows)
+    lookup = lookup.withColumnsRenamed({"_code": "_rate_code", "_slot": "_rate_slot"})
     in_force = (
-        (sales["currency"] == lookup["_code"])
-        & (slot_of(sold_at, width) == lookup["_slot"])
-        & (lookup["_from"] <= sold_at)
-        & (sold_at < lookup["_until"])
+        (F.col("_code") == F.col("_rate_code"))
+        & (F.col("_slot") == F.col("_rate_slot"))
+        & (F.col("_from") <= F.col("_at"))
+        & (F.col("_at") < F.col("_until"))
     )
-    joined = sales.join(lookup, in_force, "left")
-    return with_converted_amount(joined).drop("_code", "_slot", "_from", "_until", "_rate")
+    joined = placed.join(lookup, in_force, "left").select(*sales.columns, "_rate")
+    return with_converted_amount(joined).drop("_rate")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tillstream.functions.codes import BASE_CURRENCY
 from tillstream.functions.money import converted
 
-# A code and a rate take some tens of bytes, so this many rows are some tens of megabytes.
-BROADCAST_ROWS = 500_000
+# Rows hold a code, a rate and at most three times, so this many take about a hundred megabytes.
+BROADCAST_ROWS = 1_000_000
 
 
 def small_or_shuffled(side: DataFrame, max_rows: int) -> DataFrame:
