@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import dicts
+from tillstream import job
 from tillstream.schemas import MESSAGE
 from tillstream.sinks.versions import Versions
 from tillstream.sources.topics import folder_stream, folder_table
@@ -336,3 +337,42 @@ def test_folder_topic_as_table(rates_topic, spark):
     rates_topic.send(rate("EUR", 2))
     row = folder_table(spark, rates_topic.path).first()
     assert json.loads(row.value)["fromCurrency"] == "EUR" and row.arrival.offset == 0
+
+
+# Whole job
+
+def test_job_over_recorded_topics(spark, tmp_path, rates_topic, sales_topic):
+    rates_topic.send(rate("EUR", 2))
+    sales_topic.send(sale("a", 10.0), sale("b", 1.0, currency="GBP"))
+    args = ["--root", str(tmp_path / "job"), "--rates-folder", rates_topic.path, "--sales-folder", sales_topic.path]
+    rates_job, sales_job = job.run(spark, job.arguments([*args, "--once", "--processing-date"]))
+    assert stored(rates_job) == {"EUR": 2.0}
+    assert dicts(sales_job.sales_per_day()) == [{"transaction_date": DAY(2024, 1, 1), "total_sales": 21.0}]
+    assert [r["total_sales"] for r in dicts(sales_job.processed("day"))] == [21.0]
+
+
+def test_changes_are_published_after_each_batch(spark, tmp_path, rates_topic, sales_topic):
+    seen = []
+
+    def publish(changes):
+        seen.append({table: dicts(rows) for table, rows in changes.items()})
+
+    rates_job = RatesJob(spark, str(tmp_path / "r"), publish=publish)
+    run(rates_job, rates_topic.send(rate("EUR", 2), rate("JPY", 3)).send(rate("EUR", 4)))
+    assert [[float(r["exchange_rate"]) for r in s["currency_conversion_rates"]] for s in seen] == [[2.0, 3.0], [4.0]]
+    seen.clear()
+    sales_job = SalesJob(spark, str(tmp_path / "s"), rates_job.table, publish=publish)
+    run(sales_job, sales_topic.send(sale("a", 1.0), sale("a", 2.0)).send(sale("b", 4.0, day=2)))
+    assert [[r["transaction_id"] for r in s["transactions"]] for s in seen] == [["a"], ["b"]]
+    assert [r["total_sales"] for r in seen[1]["sales_per_day"]] == [12.0, 16.0]
+    assert [r["total_sales"] for r in seen[1]["sales_per_category"]] == [12.0, 28.0]
+
+
+def test_job_publishes_processing_dates_if_asked(spark, tmp_path, sales_job, sales_topic):
+    seen = []
+    dated = SalesJob(
+        spark, str(tmp_path / "d"), sales_job.read_rates, publish=seen.append,
+        processing_date=lambda: F.lit(DAY(2024, 2, 1)),
+    )
+    run(dated, sales_topic.send(sale("a", 1.0)))
+    assert dicts(seen[0]["sales_per_day"]) == [{"transaction_date": DAY(2024, 2, 1), "total_sales": 1.0}]

@@ -5,7 +5,7 @@ Needs the database's driver on the class path.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tillstream.settings import BATCH_SIZE, DB_DRIVER, DB_PASSWORD, DB_URL, DB_USER, Settings
 from tillstream.sources.tables import connection_options
 
-# Fixed value: attempts after a failed write.
+# Attempts after a failed write; tables and their keys.
 MAX_RETRIES = 3
+RATES_TABLE, SALES_TABLE = "currency_conversion_rates", "transactions"
+CATEGORY_TABLE, DAY_TABLE = "sales_per_category", "sales_per_day"
+TABLE_KEYS = {
+    RATES_TABLE: ("from_currency", "to_currency"),
+    SALES_TABLE: ("transaction_id",),
+    CATEGORY_TABLE: ("transaction_date", "category"),
+    DAY_TABLE: ("transaction_date",),
+}
+
+Publish = Callable[[dict[str, DataFrame]], None]
 
 
 def merge_statement(table: str, stage: str, columns: Sequence[str], keys: Sequence[str]) -> str:
@@ -67,3 +77,13 @@ def upsert_into(
     rows.write.format("jdbc").options(**write_options(settings, stage)).mode("overwrite").save()
     statement = merge_statement if replace else insert_statement
     execute(rows.sparkSession, settings, statement(table, stage, rows.columns, keys))
+
+
+def publisher(settings: Settings) -> Publish:
+    """Upsert the changed rows of each table into the database of the settings."""
+
+    def publish(changes: dict[str, DataFrame]) -> None:
+        for table, rows in changes.items():
+            upsert_into(rows, settings, table, TABLE_KEYS[table])
+
+    return publish

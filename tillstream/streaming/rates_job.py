@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstream.operators import quality, rates
 from tillstream.operators.upsert import first_by, upsert
 from tillstream.schemas import ARRIVAL, RATE, STORED_RATES
+from tillstream.sinks.database import RATES_TABLE, Publish
 from tillstream.sinks.versions import Versions
 from tillstream.sources.decode import decode
 from tillstream.streaming.batches import BatchLog, run_batches
@@ -19,7 +20,10 @@ from tillstream.streaming.event_time import with_event_time
 
 @dataclass
 class RatesJob:
-    """Writes below `root`: `log` (all updates, bad ones with reasons) and `table` versions."""
+    """Writes below `root`: `log` (all updates, bad ones with reasons) and `table` versions.
+
+    `publish` is given the changed rates after every batch, and again if the batch is retried.
+    """
 
     spark: SparkSession
     root: str
@@ -27,6 +31,7 @@ class RatesJob:
     on_bad_row: str = "quarantine"
     newest_time_wins: bool = False
     keep_versions: int = 50
+    publish: Publish | None = None
 
     @property
     def log(self) -> BatchLog:
@@ -58,6 +63,9 @@ class RatesJob:
         table = upsert(self.versions.read(before=batch_id), good, RATE.key, self.order)
         self.versions.write(batch_id, table)
         self.versions.expire(self.keep_versions)
+        if self.publish is not None:
+            changed = self.table().join(good.select(*RATE.key).distinct(), list(RATE.key), "left_semi")
+            self.publish({RATES_TABLE: changed})
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         typed = decode(messages.withColumn("message", F.col("value")), RATE)

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators import quality, totals
 from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest, rates_into
-from tillstream.operators.upsert import replace_keys, upsert
+from tillstream.operators.upsert import last_by, replace_keys, upsert
 from tillstream.schemas import SALE, STORED_SALES
+from tillstream.sinks.database import CATEGORY_TABLE, DAY_TABLE, SALES_TABLE, Publish
 from tillstream.sinks.versions import Versions
 from tillstream.sources.decode import decode
 from tillstream.sources.tables import table_or_none
@@ -37,6 +38,7 @@ class SalesJob:
     """Writes below `root`: `log` (all sales), `sums`, `compacted` and, if asked, `processed`.
 
     `read_rates` is called for every batch, so each uses the rates stored when it starts.
+    `publish` is given the changed tables after every batch, and again if the batch is retried.
     `processing_date` also files totals under the day a batch runs, as given by the function.
     """
 
@@ -48,6 +50,7 @@ class SalesJob:
     processing_date: Callable[[], F.Column] | None = None
     broadcast_rows: int = BROADCAST_ROWS
     keep_versions: int = 50
+    publish: Publish | None = None
 
     @property
     def log(self) -> BatchLog:
@@ -70,6 +73,17 @@ class SalesJob:
         before = self.versions("sums").read(before=batch_id)
         self.versions("sums").write(batch_id, sums if before is None else totals.merge_sums(before, sums))
         self.versions("sums").expire(self.keep_versions)
+        if self.publish is not None:
+            self.publish(self._changes(good))
+
+    def _changes(self, good: DataFrame) -> dict[str, DataFrame]:
+        """What a database must upsert after a batch: its sales by id, and the two small totals tables."""
+        dated = self.processing_date is None
+        return {
+            SALES_TABLE: last_by(good, SALE.key, ["arrival"]).select(*SALE.columns),
+            CATEGORY_TABLE: self.sales_per_category() if dated else self.processed("category"),
+            DAY_TABLE: self.sales_per_day() if dated else self.processed("day"),
+        }
 
     def _landed(self, sales: DataFrame, batch_id: int) -> DataFrame:
         """Write a batch before a join that shuffles it: plans over files adapt to skew, a stream's do not."""
