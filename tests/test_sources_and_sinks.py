@@ -8,7 +8,7 @@ from tillstream import session
 from tillstream.operators.upsert import replace_keys
 from tillstream.schemas import RATE, SALE
 from tillstream.settings import Settings
-from tillstream.sinks import database, publish
+from tillstream.sinks import database, lakehouse, publish
 from tillstream.sinks.versions import Versions
 from tillstream.sources import tables, topics
 
@@ -109,3 +109,40 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_settled_tables_keep_their_rows(spark):
     df = spark.range(5).select((F.col("id") * 2).alias("n"))
     assert dicts(session.settled(df)) == dicts(df)
+
+
+def test_merge_needs_a_table_format(spark, tmp_path):
+    """The statement is well formed: Spark refuses it only for the kind of table."""
+    table = f"merged_{tmp_path.name.replace('-', '_')}"
+    spark.sql(f"create table {table} (k string, v int) using parquet location '{tmp_path}/t'")
+    rows = spark.createDataFrame([("a", 1)], "k string, v int")
+    try:
+        with pytest.raises(Exception, match="(?i)merge"):
+            lakehouse.merge_into(rows, table, ["k"])
+    finally:
+        spark.sql(f"drop table {table}")
+    assert lakehouse.merge_condition(["a", "b"]) == "stored.a = changed.a AND stored.b = changed.b"
+
+
+class _Bare:
+    """A session without a checkpoint folder."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def get(self, key, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_temporary_folders_are_for_local_sessions_only():
+    local = _Bare("local[2]")
+    assert session.shared_folder(local) == session.shared_folder(local) == local.folder
+    with pytest.raises(ValueError):
+        session.shared_folder(_Bare("spark://host:7077"))

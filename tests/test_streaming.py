@@ -157,6 +157,7 @@ def test_empty_tables_before_the_first_batch(sales_job):
     assert sales_job.transactions().count() == 0
     assert sales_job.sales_per_day().count() == 0
     assert sales_job.sales_per_category().count() == 0
+    assert sales_job.quarantine().count() == 0
 
 
 def test_no_rates_yet_and_unreadable_rates(spark, tmp_path, sales_job, sales_topic):

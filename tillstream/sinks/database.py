@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tillstream.settings import BATCH_SIZE, DB_DRIVER, DB_PASSWORD, DB_URL, DB_USER, Settings
 from tillstream.sources.tables import connection_options
 
-# Attempts after a failed write; tables and their keys.
+# Attempts after a failed write; connections at a time; tables and their keys.
 MAX_RETRIES = 3
+CONNECTIONS = 20
 RATES_TABLE, SALES_TABLE = "currency_conversion_rates", "transactions"
 CATEGORY_TABLE, DAY_TABLE = "sales_per_category", "sales_per_day"
 TABLE_KEYS = {
@@ -45,6 +46,7 @@ def write_options(settings: Settings, table: str) -> dict[str, str]:
     return connection_options(settings) | {
         "dbtable": table,
         "batchsize": settings.require(BATCH_SIZE),
+        "numPartitions": str(CONNECTIONS),
         "truncate": "true",
     }
 

@@ -77,16 +77,20 @@ class BatchLog:
     def numbers(self) -> list[int]:
         return complete_numbers(self.spark, self.root, "batch_id")
 
+    def _all(self) -> DataFrame:
+        if not self.numbers():
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.root)
+
     def accepted_between(self, after: int | None, upto: int) -> DataFrame:
         """The good rows of the batches in (after, upto]."""
         number = F.col("batch_id")
-        rows = self.spark.read.schema(self.schema).parquet(self.root)
-        rows = rows.where(F.col(ACCEPTED) & (number <= upto))
+        rows = self._all().where(F.col(ACCEPTED) & (number <= upto))
         return self._data(rows if after is None else rows.where(number > after))
 
     def rejected(self) -> DataFrame:
         """All rows set aside, with their reasons and message text."""
-        return self.spark.read.schema(self.schema).parquet(self.root).where(~F.col(ACCEPTED)).drop(ACCEPTED)
+        return self._all().where(~F.col(ACCEPTED)).drop(ACCEPTED)
 
     def drop_accepted(self, upto: int) -> None:
         """Delete the good rows of old batches; rows set aside stay."""
