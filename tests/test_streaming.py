@@ -346,7 +346,7 @@ def test_job_over_recorded_topics(spark, tmp_path, rates_topic, sales_topic):
     rates_topic.send(rate("EUR", 2))
     sales_topic.send(sale("a", 10.0), sale("b", 1.0, currency="GBP"))
     args = ["--root", str(tmp_path / "job"), "--rates-folder", rates_topic.path, "--sales-folder", sales_topic.path]
-    rates_job, sales_job = job.run(spark, job.arguments([*args, "--once", "--processing-date"]))
+    rates_job, sales_job = job.run(spark, job.arguments([*args, "--once", "--processing-date", "--batch-bytes", "1000000"]))
     assert stored(rates_job) == {"EUR": 2.0}
     assert dicts(sales_job.sales_per_day()) == [{"transaction_date": DAY(2024, 1, 1), "total_sales": 21.0}]
     assert [r["total_sales"] for r in dicts(sales_job.processed("day"))] == [21.0]

@@ -26,14 +26,22 @@ def arguments(args: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="shared folder for tables and checkpoints")
     parser.add_argument("--rates-folder", help="recorded rate messages, instead of the broker's topic")
     parser.add_argument("--sales-folder", help="recorded sale messages, instead of the broker's topic")
+    parser.add_argument("--batch-bytes", help="most bytes of recorded messages per batch")
+    parser.add_argument("--batch-messages", help="most messages of a broker per batch")
     parser.add_argument("--once", action="store_true", help="process what is there, rates first, and stop")
     parser.add_argument("--publish", action="store_true", help="also upsert the tables into the database")
     parser.add_argument("--processing-date", action="store_true", help="file totals under the day of the run too")
     return parser.parse_args(args)
 
 
-def topic(spark: SparkSession, settings: Settings, name: str, folder: str | None) -> DataFrame:
-    return folder_stream(spark, folder) if folder else broker_stream(spark, settings, name)
+def topic(
+    spark: SparkSession, settings: Settings, name: str, folder: str | None, options: argparse.Namespace
+) -> DataFrame:
+    if folder:
+        limit = {"maxBytesPerTrigger": options.batch_bytes} if options.batch_bytes else {}
+        return folder_stream(spark, folder, **limit)
+    limit = {"maxOffsetsPerTrigger": options.batch_messages} if options.batch_messages else {}
+    return broker_stream(spark, settings, name, **limit)
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> tuple[RatesJob, SalesJob]:
@@ -45,16 +53,14 @@ def run(spark: SparkSession, options: argparse.Namespace) -> tuple[RatesJob, Sal
         spark, f"{options.root}/sales", rates.table, publish=publish,
         processing_date=F.current_date if options.processing_date else None,
     )
-    started = rates.start(
-        topic(spark, settings, RATES_TOPIC, options.rates_folder), f"{rates.root}/checkpoint", **trigger
+    jobs = (
+        (rates, topic(spark, settings, RATES_TOPIC, options.rates_folder, options)),
+        (sales, topic(spark, settings, SALES_TOPIC, options.sales_folder, options)),
     )
-    if options.once:
-        started.awaitTermination()
-    started = sales.start(
-        topic(spark, settings, SALES_TOPIC, options.sales_folder), f"{sales.root}/checkpoint", **trigger
-    )
-    if options.once:
-        started.awaitTermination()
+    for job, messages in jobs:
+        query = job.start(messages, f"{job.root}/checkpoint", **trigger)
+        if options.once:
+            query.awaitTermination()
     return rates, sales
 
 

@@ -117,7 +117,7 @@ def rate_spans(sold: DataFrame, changed: DataFrame) -> DataFrame:
     `sold` and `changed` hold the slots of sales and of rate changes.
     """
     no_change = {"_from": F.lit(None).cast("bigint"), "_rate": F.lit(None).cast("double")}
-    slots = (
+    slots = settled(
         sold.select("_code", "_slot", "_end").withColumns({"_sold": F.lit(True), **no_change})
         .unionByName(changed.select("_code", "_slot", "_end", F.lit(False).alias("_sold"), "_from", "_rate"))
         .groupBy("_code", "_slot")

@@ -15,9 +15,9 @@ BROADCAST_ROWS = 1_000_000
 def small_or_shuffled(side: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a stored table if its counted size allows it.
 
-    A larger one joins by shuffle, where adaptive execution splits the partitions of hot keys.
+    A larger one joins by sorted shuffle, where adaptive execution splits the partitions of hot keys.
     """
-    return F.broadcast(side) if side.count() <= max_rows else side
+    return F.broadcast(side) if side.count() <= max_rows else side.hint("merge")
 
 
 def rates_into(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
@@ -49,5 +49,5 @@ def convert_latest(
     if rates is None:
         return sales.withColumn("rate_status", F.lit("unavailable"))
     lookup = small_or_shuffled(rates_into(rates, base), broadcast_rows)
-    joined = sales.join(lookup, sales["currency"] == lookup["_code"], "left")
+    joined = sales.join(lookup, F.col("currency") == F.col("_code"), "left")
     return with_converted_amount(joined).drop("_code", "_rate")

@@ -15,7 +15,7 @@ from tillstream.plans import bindings as b
 from tillstream.schemas import RATE, SALE
 from tillstream.session import new_folder, settled, use_utc
 from tillstream.sinks.publish import as_messages, publish_folder
-from tillstream.sinks.versions import Versions
+from tillstream.sinks.versions import Versions, delete_folder
 from tillstream.sources.decode import decode
 from tillstream.sources.topics import folder_stream
 from tillstream.streaming.event_time import windowed_sales_per_day
@@ -242,6 +242,7 @@ def _run_rates(spark, updates: DataFrame) -> RatesJob:
     topic = _topic(spark, updates, RATE, F.uuid(), F.col("arrival_seq"), "last_updated")
     job = RatesJob(spark, new_folder(spark, "rates"))
     job.start(folder_stream(spark, topic), f"{job.root}/checkpoint", availableNow=True).awaitTermination()
+    delete_folder(spark, topic)
     return job
 
 
@@ -250,6 +251,7 @@ def _run_sales(spark, sf_dir, sales: DataFrame, offset, **options) -> SalesJob:
     table = rates_table(spark, sf_dir)
     job = SalesJob(spark, new_folder(spark, "sales"), lambda: table, **options)
     job.start(folder_stream(spark, topic), f"{job.root}/checkpoint", availableNow=True).awaitTermination()
+    delete_folder(spark, topic)
     return job
 
 

@@ -17,7 +17,6 @@ def build_session(app_name: str = "tillstream", master: str | None = None, **con
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
@@ -56,12 +55,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Compute a small table once and keep it in the shared folder.
+    """Compute a table once and keep it in the shared folder.
 
     Used for tables that are both counted and joined: the count decides the join strategy and
-    must not recompute the aggregation. The files outlive any executor.
+    must not recompute the table. The files outlive any executor.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    path = new_folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
