@@ -69,11 +69,12 @@ def test_folding_in_parts_equals_the_whole(sales, seed):
     rows = some_sales(seed)
     whole = sales(*rows)
     parts = [sales(*rows[i::3]) for i in range(3)]
-    table, sums = None, None
-    for part in parts:
+    table, few, sums = None, None, None
+    for part, limit in zip(parts, (1000, 1000, 0)):
         table = upsert.upsert(table, part, SALE.key, ["arrival_seq"])
+        few = upsert.upsert_few(few, part, SALE.key, ["arrival_seq"], broadcast_rows=limit)
         sums = totals.daily_category_sums(part) if sums is None else totals.merge_sums(sums, totals.daily_category_sums(part))
-    assert dicts(table) == dicts(upsert.last_by(whole, SALE.key, ["arrival_seq"]))
+    assert dicts(table) == dicts(few) == dicts(upsert.last_by(whole, SALE.key, ["arrival_seq"]))
     assert dicts(totals.day_totals(sums)) == dicts(totals.sales_per_day(whole))
     assert dicts(totals.running_totals(sums)) == dicts(totals.category_running(whole))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +14,17 @@ from tillstream.functions.money import converted
 BROADCAST_ROWS = 1_000_000
 
 
-def small_or_shuffled(side: DataFrame, max_rows: int) -> DataFrame:
+def is_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table is small enough to broadcast, by its row count."""
+    return side.count() <= max_rows
+
+
+def small_or_shuffled(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a stored table if its counted size allows it.
 
     A larger one joins by sorted shuffle, where adaptive execution splits the partitions of hot keys.
     """
-    return F.broadcast(side) if side.count() <= max_rows else side.hint("merge")
+    return F.broadcast(side) if is_small(side, max_rows) else side.hint("merge")
 
 
 def rates_into(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
@@ -39,15 +46,21 @@ def convert_latest(
     rates: DataFrame | None,
     base: str = BASE_CURRENCY,
     broadcast_rows: int = BROADCAST_ROWS,
+    before_shuffle: Callable[[DataFrame], DataFrame] = lambda sales: sales,
 ) -> DataFrame:
     """Each sale once, its amount times the stored rate of its currency into `base`.
 
     `rates` is a stored table with one row per pair; None says that it cannot be read. There is
     no inverse or chained rate, and the base currency's own stored rate counts like any other.
-    Currency and price keep their original values.
+    Currency and price keep their original values. `before_shuffle` is applied to the sales if the
+    rates are too many to broadcast.
     """
     if rates is None:
         return sales.withColumn("rate_status", F.lit("unavailable"))
-    lookup = small_or_shuffled(rates_into(rates, base), broadcast_rows)
+    lookup = rates_into(rates, base)
+    if is_small(lookup, broadcast_rows):
+        lookup = F.broadcast(lookup)
+    else:
+        lookup, sales = lookup.hint("merge"), before_shuffle(sales)
     joined = sales.join(lookup, F.col("currency") == F.col("_code"), "left")
     return with_converted_amount(joined).drop("_code", "_rate")

@@ -11,6 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.operators.enrich import is_small
+from tillstream.session import settled
+
+# Keys are text of at most 255 characters, so this many take less than a hundred megabytes.
+KEY_ROWS = 250_000
+
 
 def _columns(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -37,6 +43,25 @@ def upsert(table: DataFrame | None, changes: DataFrame, keys: Sequence[str], ord
     return last_by(rows, keys, order)
 
 
+def upsert_few(
+    table: DataFrame | None,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    broadcast_rows: int = KEY_ROWS,
+) -> DataFrame:
+    """As `upsert`, for a large table with few changes: rows whose key is untouched are not shuffled."""
+    if table is None:
+        return last_by(changes, keys, order)
+    touched = settled(changes.select(*keys).distinct())
+    if not is_small(touched, broadcast_rows):
+        return upsert(table, changes, keys, order)
+    touched = F.broadcast(touched)
+    kept = table.join(touched, list(keys), "left_anti")
+    contested = table.join(touched, list(keys), "left_semi").unionByName(changes)
+    return kept.unionByName(last_by(contested, keys, order))
+
+
 def replace_keys(table: DataFrame | None, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """A stored table after changes that hold at most one row per key and always win."""
     if table is None:

@@ -7,6 +7,7 @@ same number again replaces it. Old copies can be dropped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -28,8 +29,8 @@ def complete_numbers(spark: SparkSession, root: str, name: str) -> list[int]:
 
 
 class Versions:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):
+        self.spark, self.root, self.schema = spark, root, schema
 
     def path(self, number: int) -> str:
         return f"{self.root}/version={number}"
@@ -44,7 +45,10 @@ class Versions:
     def read(self, before: int | None = None) -> DataFrame | None:
         """The newest copy, or the newest one numbered below `before`; None if there is none."""
         number = self.newest(before)
-        return None if number is None else self.spark.read.parquet(self.path(number))
+        if number is None:
+            return None
+        reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
+        return reader.parquet(self.path(number))
 
     def write(self, number: int, table: DataFrame) -> None:
         table.write.mode("overwrite").parquet(self.path(number))

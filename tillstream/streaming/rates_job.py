@@ -39,7 +39,7 @@ class RatesJob:
 
     @property
     def versions(self) -> Versions:
-        return Versions(self.spark, f"{self.root}/table")
+        return Versions(self.spark, f"{self.root}/table", STORED_RATES)
 
     @property
     def order(self) -> list[str]:

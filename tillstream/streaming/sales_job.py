@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators import quality, totals
-from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest, rates_into
-from tillstream.operators.upsert import last_by, replace_keys, upsert
-from tillstream.schemas import SALE, STORED_SALES
+from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest
+from tillstream.operators.upsert import last_by, replace_keys, upsert_few
+from tillstream.schemas import SALE, SALES_PER_CATEGORY, SALES_PER_DAY, STORED_SALES
 from tillstream.sinks.database import CATEGORY_TABLE, DAY_TABLE, SALES_TABLE, Publish
 from tillstream.sinks.versions import Versions
 from tillstream.sources.decode import decode
@@ -32,6 +33,13 @@ SUMS = T.StructType([
 ])
 LOGGED = T.StructType([*STORED_SALES.fields, T.StructField("rate_status", T.StringType())])
 
+TABLES = {
+    "sums": SUMS,
+    "compacted": STORED_SALES,
+    "processed_category": SALES_PER_CATEGORY,
+    "processed_day": SALES_PER_DAY,
+}
+
 
 @dataclass
 class SalesJob:
@@ -57,14 +65,15 @@ class SalesJob:
         return BatchLog(self.spark, f"{self.root}/log", LOGGED)
 
     def versions(self, name: str) -> Versions:
-        return Versions(self.spark, f"{self.root}/{name}")
+        return Versions(self.spark, f"{self.root}/{name}", TABLES[name])
 
     def process(self, sales: DataFrame, batch_id: int) -> None:
         """Convert, log and sum one batch; running it again changes nothing."""
         rates = table_or_none(self.read_rates, self.on_rates_error)
-        if rates is not None and rates_into(rates).count() > self.broadcast_rows:
-            sales = self._landed(sales, batch_id)
-        checked = quality.check_sales(convert_latest(sales, rates, broadcast_rows=self.broadcast_rows))
+        converted = convert_latest(
+            sales, rates, broadcast_rows=self.broadcast_rows, before_shuffle=partial(self._landed, batch_id)
+        )
+        checked = quality.check_sales(converted)
         self.log.write(batch_id, checked, self.on_bad_row)
         good = self.log.accepted(batch_id)
         if self.processing_date is not None:
@@ -85,7 +94,7 @@ class SalesJob:
             DAY_TABLE: self.sales_per_day() if dated else self.processed("day"),
         }
 
-    def _landed(self, sales: DataFrame, batch_id: int) -> DataFrame:
+    def _landed(self, batch_id: int, sales: DataFrame) -> DataFrame:
         """Write a batch before a join that shuffles it: plans over files adapt to skew, a stream's do not."""
         path = f"{self.root}/landing/batch_id={batch_id}"
         sales.write.mode("overwrite").parquet(path)
@@ -136,7 +145,7 @@ class SalesJob:
         if upto == done:
             return base
         recent = self.log.accepted_between(done, upto).drop("rate_status")
-        return upsert(base, recent, SALE.key, ["arrival"])
+        return upsert_few(base, recent, SALE.key, ["arrival"])
 
     def compact(self) -> None:
         """Keep one row per id of all but the newest batch, which may still be retried."""
