@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tillstream.operators import enrich, totals, upsert
+from tillstream.operators import asof, enrich, totals, upsert
 from tillstream.plans import bindings as b
 from tillstream.plans import catalog
 from tillstream.schemas import SALE
@@ -61,8 +61,9 @@ def test_running_totals_window_over_daily_sums(spark):
     assert text.index("Window [") < text.index("HashAggregate")
 
 
-def test_hot_currency_is_split(spark):
-    """Nine sales in ten share a currency; past the broadcast bound its partition is split."""
+@pytest.fixture
+def small_partitions(spark):
+    """Adaptive execution as with far larger tables: nothing is broadcast, 64 kB is a large partition."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -71,25 +72,48 @@ def test_hot_currency_is_split(spark):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        code = F.when(F.col("id") % 10 != 0, "EUR").otherwise(F.concat(F.lit("C"), (F.col("id") % 90).cast("string")))
-        sales = spark.range(0, 200_000, 1, 8).select(
-            code.alias("currency"), F.col("id").cast("double").alias("total_amount"),
-            F.lit("home").alias("product_category"), F.lit("2024-01-01").cast("timestamp").alias("transaction_date"),
-        )
-        rates = spark.createDataFrame([("EUR", "USD", 2.0)], "from_currency string, to_currency string, exchange_rate double")
-        out = enrich.convert_latest(sales, rates, broadcast_rows=0)
-        rows = out.groupBy("rate_status").agg(F.sum("total_amount").alias("s"), F.count("*").alias("n"))
-        found = {r.rate_status: (r.n, r.s) for r in rows.collect()}
-        total = 199_999 * 200_000 / 2
-        missing = sum(range(0, 200_000, 10))
-        assert found == {"hit": (180_000, 2 * (total - missing)), "missing": (20_000, missing)}
-        assert "skew=true" in plan(rows)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_sales(spark):
+    """Nine sales in ten share a currency and a moment."""
+    code = F.when(F.col("id") % 10 != 0, "EUR").otherwise(F.concat(F.lit("C"), (F.col("id") % 90).cast("string")))
+    return spark.range(0, 200_000, 1, 8).select(
+        code.alias("currency"),
+        F.col("id").cast("double").alias("total_amount"),
+        F.lit("home").alias("product_category"),
+        F.lit("2024-01-02T00:00:00").cast("timestamp").alias("transaction_date"),
+    )
+
+
+def check_hot_sales(converted):
+    rows = converted.groupBy("rate_status").agg(F.sum("total_amount").alias("s"), F.count("*").alias("n"))
+    found = {r.rate_status: (r.n, r.s) for r in rows.collect()}
+    unrated = range(0, 200_000, 10)
+    assert found == {"hit": (180_000, 2 * (199_999 * 100_000 - sum(unrated))), "missing": (20_000, sum(unrated))}
+    assert "skew=true" in plan(rows)
+
+
+def test_hot_currency_is_split(spark, small_partitions):
+    rates = spark.createDataFrame([("EUR", "USD", 2.0)], "from_currency string, to_currency string, exchange_rate double")
+    check_hot_sales(enrich.convert_latest(hot_sales(spark), rates, broadcast_rows=0))
+
+
+def test_hot_currency_and_moment_are_split(spark, small_partitions, updates):
+    check_hot_sales(asof.convert_as_of(hot_sales(spark), updates({"exchange_rate": 2.0}), broadcast_rows=0))
+
+
+def test_untouched_rows_are_not_shuffled(spark, tmp_path):
+    path = str(tmp_path / "table")
+    b.live_sales(spark, SF_DIR).write.parquet(path)
+    table = spark.read.parquet(path)
+    text = plan(upsert.upsert_few(table, table.limit(5), SALE.key, ["arrival_seq"]))
+    untouched = text[text.index("LeftAnti"):text.index("Window [")]
+    assert "Exchange hashpartitioning" not in untouched
 
 
 def test_categories_are_summed_before_the_shuffle(spark):

@@ -181,6 +181,32 @@ def test_each_batch_uses_the_rates_of_its_moment(rates_job, sales_job, rates_top
     ]
 
 
+def test_sales_at_the_rate_of_their_own_time(spark, tmp_path, rates_job, rates_topic, sales_topic):
+    """However late a sale is processed, and again after more updates."""
+    run(rates_job, rates_topic.send(rate("EUR", 2, day=1), rate("EUR", 0, day=2)).send(rate("EUR", 5, day=10)))
+    sales_topic.send(sale("a", 1.0, day=5)).send(sale("b", 1.0, day=12), sale("c", 1.0, currency="GBP"))
+    for name in ("first", "second"):
+        sales_job = run(SalesJob(spark, str(tmp_path / name), rates_job.updates, as_of=True), sales_topic)
+        found = dicts(sales_job.transactions(), "transaction_id", "total_amount")
+        assert [r["total_amount"] for r in found] == [2.0, 5.0, 1.0]
+        run(rates_job, rates_topic.send(rate("EUR", 9, day=20)))
+
+
+def test_as_of_before_any_rate(spark, tmp_path, rates_job, sales_topic):
+    sales_job = run(SalesJob(spark, str(tmp_path / "s"), rates_job.updates, as_of=True), sales_topic.send(sale("a", 3.0)))
+    assert [r.total_amount for r in sales_job.transactions().collect()] == [3.0]
+
+
+def test_tables_by_name(spark, rates_job, sales_job, rates_topic, sales_topic):
+    run(rates_job, rates_topic.send(rate("EUR", 2))).register_views()
+    run(sales_job, sales_topic.send(sale("a", 10.0))).register_views()
+    row = spark.sql("""
+        select t.total_amount, r.exchange_rate, d.total_sales as day, c.total_sales as category
+        from transactions t join currency_conversion_rates r on t.currency = r.from_currency
+        cross join sales_per_day d cross join sales_per_category c""").first()
+    assert (row.total_amount, float(row.exchange_rate), row.day, row.category) == (20.0, 2.0, 20.0, 20.0)
+
+
 def test_late_sales_count(sales_job, sales_topic):
     for day in (1, 20, 21):
         sales_topic.send(sale(f"s{day}", 1.0, day=day))
@@ -334,6 +360,15 @@ def test_windows_drop_late_sales_where_plain_days_keep_them(spark, tmp_path, sal
     assert [r["total_sales"] for r in plain] == [9.0, 2.0, 4.0]
 
 
+def test_folder_of_json_records(rates_topic, rates_job, spark, tmp_path):
+    rates_topic.send(rate("EUR", 2))
+    path = str(tmp_path / "as-json")
+    spark.read.parquet(rates_topic.path).write.json(path)
+    messages = folder_stream(spark, path, "json")
+    rates_job.start(messages, f"{rates_job.root}/checkpoint", availableNow=True).awaitTermination()
+    assert stored(rates_job) == {"EUR": 2.0}
+
+
 def test_folder_topic_as_table(rates_topic, spark):
     rates_topic.send(rate("EUR", 2))
     row = folder_table(spark, rates_topic.path).first()

@@ -246,21 +246,27 @@ def _run_rates(spark, updates: DataFrame) -> RatesJob:
     return job
 
 
-def _run_sales(spark, sf_dir, sales: DataFrame, offset, **options) -> SalesJob:
+def _run_sales(spark, sales: DataFrame, offset, read_rates, **options) -> SalesJob:
     topic = _topic(spark, sales, SALE, "transaction_id", offset, "transaction_date")
-    table = rates_table(spark, sf_dir)
-    job = SalesJob(spark, new_folder(spark, "sales"), lambda: table, **options)
+    job = SalesJob(spark, new_folder(spark, "sales"), read_rates, **options)
     job.start(folder_stream(spark, topic), f"{job.root}/checkpoint", availableNow=True).awaitTermination()
     delete_folder(spark, topic)
     return job
 
 
+def _fixed_rates(spark, sf_dir):
+    table = rates_table(spark, sf_dir)
+    return lambda: table
+
+
 def _run_line_sales(spark, sf_dir) -> SalesJob:
-    return _run_sales(spark, sf_dir, b.sales(spark, sf_dir), F.col("product_id").cast("bigint"))
+    offset = F.col("product_id").cast("bigint")
+    return _run_sales(spark, b.sales(spark, sf_dir), offset, _fixed_rates(spark, sf_dir))
 
 
-def _run_live_sales(spark, sf_dir, **options) -> SalesJob:
-    return _run_sales(spark, sf_dir, b.live_sales(spark, sf_dir), F.col("arrival_seq"), **options)
+def _run_live_sales(spark, sf_dir, read_rates=None, **options) -> SalesJob:
+    read_rates = read_rates or _fixed_rates(spark, sf_dir)
+    return _run_sales(spark, b.live_sales(spark, sf_dir), F.col("arrival_seq"), read_rates, **options)
 
 
 def stream_rates(spark, sf_dir):
@@ -288,6 +294,12 @@ def stream_live_transactions(spark, sf_dir):
     return _zoneless(_run_live_sales(spark, sf_dir).transactions())
 
 
+def stream_sales_per_day_asof(spark, sf_dir):
+    """Both streams; each sale at the rate of its own time. Rates of zero are not accepted."""
+    rates_job = _run_rates(spark, b.rate_updates(spark, sf_dir))
+    return _run_live_sales(spark, sf_dir, rates_job.updates, as_of=True).sales_per_day()
+
+
 def stream_processing_date_day(spark, sf_dir):
     return _run_live_sales(spark, sf_dir, processing_date=lambda: F.lit(RUN_DATE)).processed("day")
 
@@ -297,7 +309,8 @@ def stream_processing_date_category(spark, sf_dir):
 
 
 def stream_sales_quarantine(spark, sf_dir):
-    rejected = _run_sales(spark, sf_dir, b.dirty_sales(spark, sf_dir), F.col("arrival_seq")).quarantine()
+    dirty = b.dirty_sales(spark, sf_dir)
+    rejected = _run_sales(spark, dirty, F.col("arrival_seq"), _fixed_rates(spark, sf_dir)).quarantine()
     return rejected.groupBy("violations").agg(F.count("*").alias("sales"))
 
 
@@ -341,7 +354,8 @@ BATCH_QUERIES: list[Query] = [
 ]
 STREAM_QUERIES: list[Query] = [
     stream_rates, stream_rate_quarantine, stream_transactions, stream_sales_per_day,
-    stream_category_running, stream_live_transactions, stream_processing_date_day, stream_processing_date_category,
+    stream_category_running, stream_live_transactions, stream_sales_per_day_asof,
+    stream_processing_date_day, stream_processing_date_category,
     stream_sales_quarantine, stream_category_total, stream_day_total, stream_windowed_day,
 ]
 

@@ -227,6 +227,9 @@ SQL = {
     "stream_day_total": over("converted_live", day_sums("converted_live")),
     "stream_windowed_day": over("converted_live", day_sums("converted_live")),
 }
+SQL["stream_sales_per_day_asof"] = SQL["sales_per_day_asof"].replace(
+    "where to_currency = 'USD'", "where to_currency = 'USD' and exchange_rate > 0"
+)
 SQL["stream_transactions"] = SQL["transactions_upsert"]
 SQL["stream_sales_per_day"] = SQL["sales_per_day"]
 SQL["stream_category_running"] = SQL["category_running"]

@@ -53,6 +53,10 @@ class Versions:
     def write(self, number: int, table: DataFrame) -> None:
         table.write.mode("overwrite").parquet(self.path(number))
 
+    def discard(self, number: int) -> None:
+        """Drop a copy, if it is there."""
+        delete_folder(self.spark, self.path(number))
+
     def expire(self, keep: int) -> None:
         for number in self.numbers()[:-keep]:
-            delete_folder(self.spark, self.path(number))
+            self.discard(number)

@@ -78,5 +78,14 @@ class RatesJob:
             table = self.spark.createDataFrame([], STORED_RATES)
         return table.select(*RATE.columns)
 
+    def updates(self) -> DataFrame:
+        """All accepted updates so far, with their arrival, for conversion by the time of sale."""
+        upto = self.versions.newest()
+        return self.log.accepted_between(None, -1 if upto is None else upto)
+
+    def register_views(self) -> None:
+        """Name the present table for SQL."""
+        self.table().createOrReplaceTempView(RATES_TABLE)
+
     def quarantine(self) -> DataFrame:
         return self.log.rejected()

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators import quality, totals
+from tillstream.operators.asof import convert_as_of
 from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest
 from tillstream.operators.upsert import last_by, replace_keys, upsert_few
 from tillstream.schemas import SALE, SALES_PER_CATEGORY, SALES_PER_DAY, STORED_SALES
@@ -46,6 +47,8 @@ class SalesJob:
     """Writes below `root`: `log` (all sales), `sums`, `compacted` and, if asked, `processed`.
 
     `read_rates` is called for every batch, so each uses the rates stored when it starts.
+    With `as_of` it gives all updates instead (`RatesJob.updates`), and a sale takes the rate that
+    was valid at its own time, whenever it is processed.
     `publish` is given the changed tables after every batch, and again if the batch is retried.
     `processing_date` also files totals under the day a batch runs, as given by the function.
     """
@@ -55,6 +58,7 @@ class SalesJob:
     read_rates: Callable[[], DataFrame | None]
     on_bad_row: str = "quarantine"
     on_rates_error: str = "pass"
+    as_of: bool = False
     processing_date: Callable[[], F.Column] | None = None
     broadcast_rows: int = BROADCAST_ROWS
     keep_versions: int = 50
@@ -70,10 +74,8 @@ class SalesJob:
     def process(self, sales: DataFrame, batch_id: int) -> None:
         """Convert, log and sum one batch; running it again changes nothing."""
         rates = table_or_none(self.read_rates, self.on_rates_error)
-        converted = convert_latest(
-            sales, rates, broadcast_rows=self.broadcast_rows, before_shuffle=partial(self._landed, batch_id)
-        )
-        checked = quality.check_sales(converted)
+        checked = quality.check_sales(self._converted(batch_id, sales, rates))
+        self.versions("sums").discard(batch_id)
         self.log.write(batch_id, checked, self.on_bad_row)
         good = self.log.accepted(batch_id)
         if self.processing_date is not None:
@@ -94,8 +96,14 @@ class SalesJob:
             DAY_TABLE: self.sales_per_day() if dated else self.processed("day"),
         }
 
+    def _converted(self, batch_id: int, sales: DataFrame, rates: DataFrame | None) -> DataFrame:
+        land = partial(self._landed, batch_id)
+        if self.as_of and rates is not None:
+            return convert_as_of(land(sales), rates, arrival=("arrival",), broadcast_rows=self.broadcast_rows)
+        return convert_latest(sales, rates, broadcast_rows=self.broadcast_rows, before_shuffle=land)
+
     def _landed(self, batch_id: int, sales: DataFrame) -> DataFrame:
-        """Write a batch before a join that shuffles it: plans over files adapt to skew, a stream's do not."""
+        """Write a batch that is read twice, or joined by shuffle: plans over files adapt to skew, a stream's do not."""
         path = f"{self.root}/landing/batch_id={batch_id}"
         sales.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(sales.schema).parquet(path)
@@ -178,5 +186,11 @@ class SalesJob:
         """`category` or `day` totals by processing date."""
         return self.versions(f"processed_{name}").read()
 
+    def register_views(self) -> None:
+        """Name the present tables for SQL."""
+        self.transactions().createOrReplaceTempView(SALES_TABLE)
+        self.sales_per_category().createOrReplaceTempView(CATEGORY_TABLE)
+        self.sales_per_day().createOrReplaceTempView(DAY_TABLE)
+
     def quarantine(self) -> DataFrame:
         return self.log.rejected()
