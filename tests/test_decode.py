@@ -21,6 +21,10 @@ def decoded(spark, text, record=SALE, **options):
     ("", "malformed"),
     (None, "malformed"),
     ('"text"', "malformed"),
+    ("{'transactionId': '1'}", "malformed"),
+    ('{"productPrice": NaN}', "malformed"),
+    ('{transactionId: 1}', "malformed"),
+    ('{"productPrice": "\\t"}', None),
     ('{"transactionId": "1", "colour": "red"}', "unknown_field"),
     ('{"ProductName": "lamp"}', "unknown_field"),
     ('{"productPrice": "cheap"}', "bad_product_price"),
@@ -38,6 +42,7 @@ def test_errors(spark, text, error):
 def test_null_is_no_record(spark):
     assert decoded(spark, "null") is None
     assert decoded(spark, "  null ") is None
+    assert decoded(spark, "\r\n\tnull\n") is None
 
 
 def test_unknown_fields_can_be_ignored(spark):

@@ -128,6 +128,8 @@ def test_old_versions_are_dropped(spark, tmp_path, rates_topic):
     job = run(RatesJob(spark, str(tmp_path / "r"), keep_versions=2), rates_topic)
     assert job.versions.numbers() == [2, 3]
     assert stored(job) == {"EUR": 4.0}
+    with pytest.raises(ValueError):
+        RatesJob(spark, job.root, keep_versions=1)
 
 
 # Sales

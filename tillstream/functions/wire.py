@@ -20,8 +20,12 @@ def seed_time(ts: Column) -> Column:
     return F.date_format(ts, SEED_TIME)
 
 
+def stripped(text: Column) -> Column:
+    return F.trim(text, F.lit(" \t\r\n"))
+
+
 def _blank(text: Column) -> Column:
-    return F.coalesce(F.trim(text) == "", F.lit(True))
+    return F.coalesce(stripped(text) == "", F.lit(True))
 
 
 def read_double(text: Column) -> Column:

@@ -58,5 +58,6 @@ class Versions:
         delete_folder(self.spark, self.path(number))
 
     def expire(self, keep: int) -> None:
+        """Drop all but the newest copies. A copy that builds on the one before needs at least two."""
         for number in self.numbers()[:-keep]:
             self.discard(number)

@@ -16,6 +16,13 @@ from tillstream.schemas import Field, Record
 
 DECODE_ERROR = "decode_error"
 _CORRUPT = "_corrupt"
+# Strict JSON; a message that is none keeps its row.
+_PARSER = {
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
+    "allowSingleQuotes": "false",
+    "allowNonNumericNumbers": "false",
+}
 _READERS = {"double": wire.read_double, "int": wire.read_int, "timestamp": wire.read_time}
 
 
@@ -51,13 +58,12 @@ def decode(
     if unknown_fields not in ("reject", "ignore"):
         raise ValueError(f"unknown_fields: {unknown_fields!r}")
     text = F.col(value).cast("string")
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     others = [c for c in messages.columns if c != value]
     # One step each for the parse, the typed values and the errors, so that none is computed twice.
     parsed = (
         messages.withColumn("_text", text)
-        .where(F.col("_text").isNull() | (F.trim("_text") != "null"))
-        .withColumn("_wire", F.from_json("_text", wire_schema(record), options))
+        .where(F.col("_text").isNull() | (wire.stripped(F.col("_text")) != "null"))
+        .withColumn("_wire", F.from_json("_text", wire_schema(record), _PARSER))
     )
     wired = F.col("_wire")
     malformed = wired.isNull() | wired[_CORRUPT].isNotNull()

@@ -33,6 +33,10 @@ class RatesJob:
     keep_versions: int = 50
     publish: Publish | None = None
 
+    def __post_init__(self):
+        if self.keep_versions < 2:
+            raise ValueError("a retried batch builds on the version before it: keep at least two")
+
     @property
     def log(self) -> BatchLog:
         return BatchLog(self.spark, f"{self.root}/log", STORED_RATES)

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.functions.money import exact_sum
 from tillstream.operators.upsert import replace_keys
-from tillstream.sinks.versions import Versions
+from tillstream.sinks.versions import Versions, delete_folder
 
 
 def running_sum(sales: DataFrame, key: Column, name: str) -> DataFrame:
@@ -28,6 +28,7 @@ def keep_totals(totals: DataFrame, keys: Sequence[str], table: Versions, checkpo
         changes.write.mode("overwrite").parquet(landing)
         stored = table.spark.read.schema(changes.schema).parquet(landing)
         table.write(batch_id, replace_keys(table.read(before=batch_id), stored, keys))
+        delete_folder(table.spark, landing)
 
     return (
         totals.writeStream.outputMode("update")

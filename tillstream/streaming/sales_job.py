@@ -21,7 +21,7 @@ from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest
 from tillstream.operators.upsert import last_by, replace_keys, upsert_few
 from tillstream.schemas import SALE, SALES_PER_CATEGORY, SALES_PER_DAY, STORED_SALES
 from tillstream.sinks.database import CATEGORY_TABLE, DAY_TABLE, SALES_TABLE, Publish
-from tillstream.sinks.versions import Versions
+from tillstream.sinks.versions import Versions, delete_folder
 from tillstream.sources.decode import decode
 from tillstream.sources.tables import table_or_none
 from tillstream.streaming.batches import BatchLog, run_batches
@@ -48,7 +48,8 @@ class SalesJob:
 
     `read_rates` is called for every batch, so each uses the rates stored when it starts.
     With `as_of` it gives all updates instead (`RatesJob.updates`), and a sale takes the rate that
-    was valid at its own time, whenever it is processed.
+    was valid at its own time, whenever it is processed. Every batch then reads all updates, which
+    suits replays in large batches.
     `publish` is given the changed tables after every batch, and again if the batch is retried.
     `processing_date` also files totals under the day a batch runs, as given by the function.
     """
@@ -64,6 +65,10 @@ class SalesJob:
     keep_versions: int = 50
     publish: Publish | None = None
 
+    def __post_init__(self):
+        if self.keep_versions < 2:
+            raise ValueError("a retried batch builds on the version before it: keep at least two")
+
     @property
     def log(self) -> BatchLog:
         return BatchLog(self.spark, f"{self.root}/log", LOGGED)
@@ -77,6 +82,7 @@ class SalesJob:
         checked = quality.check_sales(self._converted(batch_id, sales, rates))
         self.versions("sums").discard(batch_id)
         self.log.write(batch_id, checked, self.on_bad_row)
+        delete_folder(self.spark, self._landing(batch_id))
         good = self.log.accepted(batch_id)
         if self.processing_date is not None:
             self._file_under_run_date(good, batch_id)
@@ -102,11 +108,13 @@ class SalesJob:
             return convert_as_of(land(sales), rates, arrival=("arrival",), broadcast_rows=self.broadcast_rows)
         return convert_latest(sales, rates, broadcast_rows=self.broadcast_rows, before_shuffle=land)
 
+    def _landing(self, batch_id: int) -> str:
+        return f"{self.root}/landing/batch_id={batch_id}"
+
     def _landed(self, batch_id: int, sales: DataFrame) -> DataFrame:
         """Write a batch that is read twice, or joined by shuffle: plans over files adapt to skew, a stream's do not."""
-        path = f"{self.root}/landing/batch_id={batch_id}"
-        sales.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(sales.schema).parquet(path)
+        sales.write.mode("overwrite").parquet(self._landing(batch_id))
+        return self.spark.read.schema(sales.schema).parquet(self._landing(batch_id))
 
     def _file_under_run_date(self, good: DataFrame, batch_id: int) -> None:
         """Totals so far of the batch's categories, and of its last arrival's day, under today's date."""
