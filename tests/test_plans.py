@@ -56,6 +56,11 @@ def test_upserts_reduce_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange hashpartitioning") < text.index("Partial")
 
 
+def test_latest_rates_are_hashed_not_sorted(spark):
+    text = plan(catalog.latest_rate_by_arrival(spark, SF_DIR))
+    assert "Sort" not in text and "partial_max_by" in text
+
+
 def test_running_totals_window_over_daily_sums(spark):
     text = plan(catalog.category_running(spark, SF_DIR))
     assert text.index("Window [") < text.index("HashAggregate")

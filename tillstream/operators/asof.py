@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.codes import BASE_CURRENCY
+from tillstream.functions.order import order_value
 from tillstream.operators.enrich import BROADCAST_ROWS, small_or_shuffled, with_converted_amount
 from tillstream.session import settled
 
@@ -45,7 +46,7 @@ def rate_changes(rates: DataFrame, base: str, arrival: list[str]) -> DataFrame:
             F.col("from_currency").alias("_code"),
             micros(F.col("last_updated")).alias("_from"),
             F.col("exchange_rate").cast("double").alias("_rate"),
-            F.struct(*arrival).alias("_arrival"),
+            order_value(arrival).alias("_arrival"),
         )
         .where(F.col("_from").isNotNull())
         .groupBy("_code", "_from")

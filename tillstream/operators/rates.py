@@ -19,8 +19,17 @@ def stored(updates: DataFrame) -> DataFrame:
 
 
 def latest_rates(updates: DataFrame, order: Sequence[str] = ("arrival_seq",)) -> DataFrame:
-    """The last rate of each pair: by arrival, or by `last_updated` if that leads `order`."""
-    return last_by(updates, RATE.key, order).select(*RATE.columns)
+    """The last rate of each pair: by arrival, or by `last_updated` if that leads `order`.
+
+    Pairs are few and updates many. With one number to order by, an aggregation keeps each pair's
+    last row without sorting; `order` must be total.
+    """
+    if len(order) > 1:
+        return last_by(updates, RATE.key, order).select(*RATE.columns)
+    return updates.groupBy(*RATE.key).agg(
+        F.max_by("exchange_rate", *order).alias("exchange_rate"),
+        F.max_by("last_updated", *order).alias("last_updated"),
+    )
 
 
 def rate_grid(rates: DataFrame, codes: list[str] = CURRENCY_CODES) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstream.functions.money import exact_sum
+from tillstream.functions.order import order_value
 
 
 def sale_day(at: str = "transaction_date") -> Column:
@@ -99,7 +100,7 @@ def processing_date_day(
     day = run_date if isinstance(run_date, Column) else F.lit(run_date)
     days = sales.groupBy(sale_day().alias("_day")).agg(
         exact_sum(F.col("total_amount")).cast("double").alias("_total"),
-        F.max(F.struct(*order)).alias("_last"),
+        F.max(order_value(order)).alias("_last"),
     )
     return (
         days.agg(F.max_by("_total", "_last").alias("total_sales"))

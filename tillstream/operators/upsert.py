@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstream.functions.order import order_columns
 from tillstream.operators.enrich import is_small
 from tillstream.session import settled
 
@@ -18,10 +19,6 @@ from tillstream.session import settled
 KEY_ROWS = 250_000
 
 
-def _columns(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
-
-
 def _first_ranked(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
@@ -29,12 +26,12 @@ def _first_ranked(df: DataFrame, keys: Sequence[str], order: list[Column]) -> Da
 
 def last_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The last row per key: the state of a table that upserts every row in order."""
-    return _first_ranked(df, keys, [c.desc() for c in _columns(order)])
+    return _first_ranked(df, keys, [c.desc() for c in order_columns(order)])
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The first row per key: the state of a table that rejects later inserts."""
-    return _first_ranked(df, keys, [c.asc() for c in _columns(order)])
+    return _first_ranked(df, keys, [c.asc() for c in order_columns(order)])
 
 
 def upsert(table: DataFrame | None, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
