@@ -225,11 +225,15 @@ def wire_times(spark, sf_dir):
 
 # Streams: the tables above, from topics of JSON messages
 
-def _topic(spark, rows: DataFrame, record, key, offset, at: str) -> str:
-    """Publish rows to a folder of recorded messages; time and offset give their order."""
+def _messages(rows: DataFrame, record, key, offset, at: str) -> DataFrame:
+    """Rows as recorded messages; time and offset give their order."""
     place = [F.lit(0).alias("partition"), offset.alias("offset"), F.col(at).cast("timestamp").alias("timestamp")]
+    return as_messages(rows, record, key, *place)
+
+
+def _topic(spark, rows: DataFrame, record, key, offset, at: str) -> str:
     path = new_folder(spark, f"{record.name}-topic")
-    publish_folder(as_messages(rows, record, key, *place), path)
+    publish_folder(_messages(rows, record, key, offset, at), path)
     return path
 
 
@@ -290,6 +294,31 @@ def stream_category_running(spark, sf_dir):
     return _run_line_sales(spark, sf_dir).sales_per_category()
 
 
+def _run_line_sales_in_parts(spark, sf_dir) -> SalesJob:
+    """All line sales in two runs of one job: up to the middle of 1998, then, after a restart, the rest."""
+    sales, early = b.sales(spark, sf_dir), F.col("transaction_date") < "1998-07-01"
+    root, topic = new_folder(spark, "sales"), new_folder(spark, "sale-topic")
+    for part in (sales.where(early), sales.where(~early)):
+        messages = _messages(part, SALE, "transaction_id", F.col("product_id").cast("bigint"), "transaction_date")
+        publish_folder(messages, topic)
+        job = SalesJob(spark, root, _fixed_rates(spark, sf_dir))
+        job.start(folder_stream(spark, topic), f"{root}/checkpoint", availableNow=True).awaitTermination()
+    delete_folder(spark, topic)
+    return job
+
+
+def stream_transactions_in_parts(spark, sf_dir):
+    """The table after a restart, from compacted early batches and the newest one."""
+    job = _run_line_sales_in_parts(spark, sf_dir)
+    job.compact()
+    job.drop_compacted()
+    return _zoneless(job.transactions())
+
+
+def stream_category_running_in_parts(spark, sf_dir):
+    return _run_line_sales_in_parts(spark, sf_dir).sales_per_category()
+
+
 def stream_live_transactions(spark, sf_dir):
     return _zoneless(_run_live_sales(spark, sf_dir).transactions())
 
@@ -354,9 +383,10 @@ BATCH_QUERIES: list[Query] = [
 ]
 STREAM_QUERIES: list[Query] = [
     stream_rates, stream_rate_quarantine, stream_transactions, stream_sales_per_day,
-    stream_category_running, stream_live_transactions, stream_sales_per_day_asof,
-    stream_processing_date_day, stream_processing_date_category,
-    stream_sales_quarantine, stream_category_total, stream_day_total, stream_windowed_day,
+    stream_category_running, stream_transactions_in_parts, stream_category_running_in_parts,
+    stream_live_transactions, stream_sales_per_day_asof, stream_processing_date_day,
+    stream_processing_date_category, stream_sales_quarantine,
+    stream_category_total, stream_day_total, stream_windowed_day,
 ]
 
 

@@ -233,6 +233,8 @@ SQL["stream_sales_per_day_asof"] = SQL["sales_per_day_asof"].replace(
 SQL["stream_transactions"] = SQL["transactions_upsert"]
 SQL["stream_sales_per_day"] = SQL["sales_per_day"]
 SQL["stream_category_running"] = SQL["category_running"]
+SQL["stream_transactions_in_parts"] = SQL["transactions_upsert"]
+SQL["stream_category_running_in_parts"] = SQL["category_running"]
 SQL["stream_processing_date_day"] = SQL["processing_date_day"]
 SQL["stream_processing_date_category"] = SQL["processing_date_category"]
 # A sale without an event time has no arrival time either, and without an id no message key.

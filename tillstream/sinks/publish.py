@@ -33,8 +33,8 @@ def as_messages(rows: DataFrame, record: Record, key: str | Column, *extra: str
 
 
 def publish_folder(messages: DataFrame, path: str) -> None:
-    """Record messages in a folder, in row groups small enough for many readers."""
-    messages.write.option("parquet.block.size", RECORDED_GROUP_BYTES).parquet(path)
+    """Add messages to a folder, in row groups small enough for many readers."""
+    messages.write.mode("append").option("parquet.block.size", RECORDED_GROUP_BYTES).parquet(path)
 
 
 def publish(messages: DataFrame, brokers: str, topic: str) -> None:
