@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.codes import BASE_CURRENCY
 from tillstream.functions.order import order_value
-from tillstream.operators.enrich import BROADCAST_ROWS, small_or_shuffled, with_converted_amount
+from tillstream.operators.enrich import (
+    BROADCAST_ROWS,
+    known_codes,
+    small_or_shuffled,
+    with_converted_amount,
+)
 from tillstream.session import settled
 
 MILLI, SECOND = 1_000, 1_000_000
@@ -41,7 +46,7 @@ def slot_of(at: Column, width: Column | int) -> Column:
 def rate_changes(rates: DataFrame, base: str, arrival: list[str]) -> DataFrame:
     """One rate per currency and instant; of several at one instant the last arrival counts."""
     return (
-        rates.where((F.col("to_currency") == base) & F.col("from_currency").isNotNull())
+        known_codes(rates, base)
         .select(
             F.col("from_currency").alias("_code"),
             micros(F.col("last_updated")).alias("_from"),

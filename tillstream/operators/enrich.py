@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.codes import BASE_CURRENCY
 from tillstream.functions.money import converted
+from tillstream.schemas import RATE
 
 # Rows hold a code, a rate and at most three times, so this many take about a hundred megabytes.
 BROADCAST_ROWS = 1_000_000
@@ -27,9 +28,15 @@ def small_or_shuffled(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFr
     return F.broadcast(side) if is_small(side, max_rows) else side.hint("merge")
 
 
+def known_codes(rates: DataFrame, base: str) -> DataFrame:
+    """Rates into `base` from codes a rate table can hold; short codes make a row count a size bound."""
+    code = F.col("from_currency")
+    return rates.where((F.col("to_currency") == base) & (F.length(code) <= RATE.text_limits()["from_currency"]))
+
+
 def rates_into(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:
     """One rate per source currency. A rate holds in its stored direction only."""
-    return rates.where(F.col("to_currency") == base).select(
+    return known_codes(rates, base).select(
         F.col("from_currency").alias("_code"), F.col("exchange_rate").cast("double").alias("_rate")
     )
 
