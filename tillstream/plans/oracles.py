@@ -161,8 +161,11 @@ SQL = {
           case when product_category is null then 'missing_product_category' end) as violations
         from dirty_live"""),
     "future_rate_guard": over("updates", """
-        select *, 'future_last_updated' as violations from updates
-        where last_updated > timestamp '2024-01-20 00:00:00'"""),
+        , checked as (select *, concat_ws(',',
+          case when exchange_rate is null or exchange_rate <= 0 then 'rate_not_positive' end,
+          case when last_updated > timestamp '2024-01-20 00:00:00' then 'future_last_updated' end) as violations
+          from updates)
+        select * from checked where violations <> ''"""),
     "enrich_latest": over("converted", "select * from converted"),
     "enrich_latest_shuffled": over("converted", "select * from converted"),
     "enrich_unavailable": over("live", "select *, 'unavailable' as rate_status from live"),
