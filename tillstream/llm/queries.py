@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import decontaminate, language, line_dedup, neighbours, pieces, quality, url_filter
+from tillstream.llm import decontaminate, language, line_dedup, near_dedup, neighbours, passages, pieces, quality, suffix_dedup, url_filter
 
 MODEL_FILE = "TOKENIZER_MODEL"
 URL_RULES = [
@@ -38,6 +38,18 @@ def op1_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_removed", "n_spans", digest(F.col("text")).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_dedup.remove_repeats(docs)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest(F.col("kept")).alias("kept_sha256"))
+
+
+def op3_near_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_dedup.near_duplicates(docs, words=2)
+    return found.select("doc_id", *near_dedup.RESULTS)
+
+
 def op4_nearest_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 20 == 0))
@@ -59,6 +71,11 @@ def op6_decontamination(spark, sf_dir):
     )
 
 
+def op7_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.repeated_passages(docs).select("doc_id", *passages.RESULTS)
+
+
 def op8_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     weights = url_filter.train(url_filter.labelled_by_rules(pages, URL_RULES))
@@ -83,7 +100,7 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
-QUERIES = [op1_line_dedup, op4_nearest_neighbours, op5_quality, op6_decontamination, op8_url_filter, op9_language_id, op10_sentencepiece]
+QUERIES = [op1_line_dedup, op2_suffix_dedup, op3_near_dedup, op4_nearest_neighbours, op5_quality, op6_decontamination, op7_substring_dedup, op8_url_filter, op9_language_id, op10_sentencepiece]
 
 
 def queries():
