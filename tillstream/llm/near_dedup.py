@@ -7,10 +7,11 @@ a bucket. Two sets with a similarity of 0.8 miss each other in all buckets with
 
 Equal sets are one node, so copies cost nothing further. Buckets link in stars: a round picks centres in each bucket, links
 them with the bucket's other members by comparing full sets, and merges the components. One centre serves the
-first round and twice as many each following one, members of the smallest components first, so a group of near
-copies needs about as many links as it has members. A bucket is finished when all its members that have not been centres
+first round, the member of most and fullest buckets, and four times as many each following one, members of the smallest
+components first; no pair is compared twice. So a group of near copies needs about as many links as it has members. A bucket is finished when all its members that have not been centres
 are in one component: then every two members that could still be apart have been compared, and no link is lost. Pairs
-whose sizes rule out the similarity are not compared.
+whose sizes rule out the similarity are not compared; after the
+first round, nor are pairs whose sets cannot share enough, because too many of their shingles are in no other set that is left.
 
 Words are what stands between ASCII white space, A-Z taken as a-z. A text with fewer words than a shingle has its whole
 sequence as its only shingle. A null text, or one without words, has an empty set and is linked with nothing. Rows with equal
@@ -39,31 +40,32 @@ LIMIT = 80
 
 
 @cache
-def _orders() -> np.ndarray:
+def _orders(slots: int) -> np.ndarray:
     """For each slot, the order in which it looks for a filled bin."""
     draw = np.random.default_rng(20)
-    return np.stack([draw.permutation(SLOTS) for _ in range(SLOTS)])
+    return np.stack([draw.permutation(slots) for _ in range(slots)]).astype(np.int16)
 
 
 @cache
-def _edges() -> np.ndarray:
-    return np.array([(s << 64) // SLOTS for s in range(SLOTS)], np.uint64)
+def _edges(slots: int) -> np.ndarray:
+    return np.array([(s << 64) // slots for s in range(slots)], np.uint64)
 
 
-def bands(shingle_set: np.ndarray) -> np.ndarray:
-    """The band keys of a sorted, non-empty set of hashes."""
-    at = np.searchsorted(shingle_set, _edges())
-    ends = np.append(at[1:], len(shingle_set))
-    filled = at < ends
+def slots(shingle_set: np.ndarray, count: int) -> np.ndarray:
+    """The values of all slots of a sorted, non-empty set of hashes."""
+    at = np.searchsorted(shingle_set, _edges(count))
+    filled = at < np.append(at[1:], len(shingle_set))
     values = shingle_set[np.minimum(at, len(shingle_set) - 1)]
     if not filled.all():
-        orders = _orders()
-        empty = np.flatnonzero(~filled)
-        source = orders[empty, filled[orders[empty]].argmax(1)]
-        # The slot's number goes in, so that a borrowed value stands for this slot.
+        orders = _orders(count)[~filled]
         values = values.copy()
-        values[empty] = values[source]
-    rows = values.reshape(BANDS, -1)
+        values[~filled] = values[orders[np.arange(len(orders)), filled[orders].argmax(1)]]
+    return values
+
+
+def bands(shingle_set: np.ndarray) -> np.ndarray:
+    """The band keys of a sorted, non-empty set of hashes."""
+    rows = slots(shingle_set, SLOTS).reshape(BANDS, -1)
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for column in rows.T:
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
@@ -112,76 +114,93 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
 
 def _centres(open_: DataFrame, count: int) -> DataFrame:
     """(bucket, centre): the next centres of each bucket, from members that have not been one."""
-    order = "over (partition by bucket order by size, xxhash64(node), node)"
+    order = "over (partition by bucket order by size, weight desc, xxhash64(node), node)"
     return open_.where(~F.col("used")).withColumn("rank", F.expr(f"row_number() {order}")).where(
         F.col("rank") <= count
-    ).select("bucket", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("centre_root"))
+    ).select("bucket", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("centre_root"), F.col("known").alias("centre_known"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(u, v): the pairs whose full sets are similar."""
-    pairs = stored(pairs, "pairs")
     wanted = pairs.select(F.col("u").alias("node")).unionAll(pairs.select(F.col("v").alias("node"))).distinct()
-    near = stored(only_keys(sets, wanted, ["node"]), "sets")
+    near = only_keys(sets, wanted, ["node"])
     left = near.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     right = near.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
     shared = F.size(F.array_intersect("a", "b"))
     links = pairs.join(left, "u").join(right, "v").select(
         "u", "v", shared.alias("both"), (F.size("a") + F.size("b") - shared).alias("all")
     ).where(100 * F.col("both") >= LIMIT * F.col("all")).select("u", "v")
-    links = stored(links, "similar")
-    dropped(pairs)
-    dropped(near)
-    return links
+    return stored(links, "similar")
+
+
+def _alone(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, alone): how many shingles of each node are in no other's set."""
+    place = F.xxhash64("node")
+    each = only_keys(sets, nodes, ["node"]).select(place.alias("p"), F.explode("shingles").alias("shingle"))
+    own = each.groupBy("shingle").agg(F.min("p").alias("p"), F.max("p").alias("q")).where("p = q")
+    counts = own.groupBy("p").agg(F.count("*").alias("alone"))
+    return nodes.withColumn("p", place).join(counts, "p").select("node", "alone")
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    every = tables[0]
+    for more in tables[1:]:
+        every = every.unionAll(more)
+    return every
 
 
 def _linked(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
     """(node, root) of all nodes that are linked with others; none if there are no links."""
-    roots, links, tried = None, [], 0
-    state = stored(buckets.withColumn("used", F.lit(False)), "buckets")
-    count = 1
+    # A member of many full buckets is near many others, and so makes the better centre.
+    full = buckets.groupBy("bucket").agg(F.count("*").alias("weight"))
+    weights = buckets.join(full, "bucket").groupBy("node").agg(F.sum("weight").alias("weight"))
+    state = buckets.join(weights, "node").withColumns({"used": F.lit(False), "known": F.col("n")})
+    roots, links, tried, count, old = None, [], [], 1, []
     while True:
         if roots is None:
             known = state.withColumns({"root": F.col("node"), "size": F.lit(1).cast("long")})
         else:
-            sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-            placed = roots.join(sizes, "root")
+            placed = roots.join(roots.groupBy("root").agg(F.count("*").alias("size")), "root")
             known = state.join(placed, "node", "left").withColumns({
                 "root": F.coalesce("root", "node"), "size": F.coalesce("size", F.lit(1).cast("long")),
             })
-        known = stored(known, "open")
         # A bucket stays open while its members that were no centres are in more than one component.
         apart = known.where(~F.col("used")).groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where(
             F.col("x") != F.col("y")
         ).select("bucket")
         open_ = stored(known.join(apart, "bucket", "left_semi"), "open")
-        dropped(known)
-        dropped(state)
+        for table in old:
+            dropped(table)
         if not open_.head(1):
-            dropped(open_)
+            for table in (open_, *links, *tried):
+                dropped(table)
             return roots
         centres = stored(_centres(open_, count), "centres")
-        fits = (100 * F.least("n", "centre_n") >= LIMIT * F.greatest("n", "centre_n"))
+        fits = 100 * F.least("n", "centre_n") >= LIMIT * F.greatest("n", "centre_n")
+        # At most the shingles that other sets have, too, can be shared.
+        most = F.least("known", "centre_known")
+        fits &= 100 * most >= LIMIT * (F.col("n") + F.col("centre_n") - most)
         pairs = open_.join(centres, "bucket").where(
             (F.col("root") != F.col("centre_root")) & fits
         ).select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
-        found = _verified(pairs, sets)
-        if found.head(1):
-            links.append(found)
-            every = links[0]
-            for more in links[1:]:
-                every = every.unionAll(more)
-            previous, roots = roots, components(every)
+        if tried:
+            pairs = pairs.join(_union(tried), ["u", "v"], "left_anti")
+        tried.append(stored(pairs, "pairs"))
+        links.append(_verified(tried[-1], sets))
+        if links[-1].head(1):
+            previous, roots = roots, components(_union(links))
             if previous is not None:
                 dropped(previous)
-        state = stored(
-            open_.join(centres.select("bucket", F.col("centre").alias("node"), F.lit(True).alias("now")), ["bucket", "node"], "left")
-            .select("bucket", "node", "n", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")),
-            "buckets",
+        now = centres.select("bucket", F.col("centre").alias("node"), F.lit(True).alias("now"))
+        state = open_.join(now, ["bucket", "node"], "left").select(
+            "bucket", "node", "n", "weight", "known", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")
         )
-        dropped(open_)
-        dropped(centres)
-        count *= 2
+        old = [open_, centres]
+        if count == 1:
+            alone = stored(_alone(open_.select("node").distinct(), sets), "alone")
+            old.append(alone)
+            state = state.join(alone, "node", "left").withColumn("known", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+        count *= 4
 
 
 RESULTS = ["n_shingles", "component_id", "kept"]
@@ -193,21 +212,22 @@ def near_duplicates(
     """The table with set size, component (its smallest id) and whether the document names its component."""
     rows = keyed(docs, id_column, text_column)
     signed = stored(signatures(rows, words), "signatures").withColumn("node", F.struct(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
-    banded = signed.where("n > 0").select("node", "n", *KEY, F.explode("keys").alias("bucket"))
+    banded = signed.where("n > 0").select("node", "n", F.explode("keys").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where(
         F.col("x") != F.col("y")
     ).select("bucket")
     members = stored(
-        banded.join(shared, "bucket", "left_semi").groupBy("bucket", "node").agg(
-            F.max("n").alias("n"), F.min(F.struct(*KEY)).alias("key")
-        ), "members",
+        banded.join(shared, "bucket", "left_semi").groupBy("bucket", "node").agg(F.max("n").alias("n")), "members"
+    )
+    holders = signed.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.min(F.struct(*KEY)).alias("key")
     )
-    holders = stored(members.groupBy("node").agg(F.min("key").alias("key")).select("node", "key.*"), "holders")
+    holders = stored(holders.select("node", "key.*"), "holders")
     count = holders.count()
     texts = rows.select(*KEY, "text")
     small = F.broadcast(holders) if count <= 400_000 else holders
     sets = stored(shingle_sets(texts.join(small, KEY).dropDuplicates(["node"]), words), "full-sets")
-    roots = _linked(members.select("bucket", "node", "n"), sets)
+    roots = _linked(members, sets)
     for table in (members, holders, sets):
         dropped(table)
 
