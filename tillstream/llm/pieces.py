@@ -21,6 +21,7 @@ import heapq
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,7 +67,7 @@ class Encoder:
     """Encodes texts with a vocabulary."""
 
     vocabulary: Vocabulary
-    met: dict[str, array] = field(default_factory=dict)
+    met: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         import ahocorasick
@@ -75,6 +76,8 @@ class Encoder:
         self.ids = {p: i for i, (p, kind) in enumerate(zip(v.pieces, v.kinds)) if kind == "normal"}
         self.bytes = [v.pieces.index(f"<0x{n:02X}>") for n in range(256)]
         self.score = {p: v.scores[i] for p, i in self.ids.items()}
+        self.end = array("i", [v.end]).tobytes()
+        self.mark = array("i", [self.ids.get(MARK, -1)]).tobytes()
         self.fits: dict[tuple[str, str], bool] = {}
         self.runs: dict[int, list[str]] = {}
         # A mark can only stand at the start of a piece, or the piece is a run of marks.
@@ -164,44 +167,53 @@ class Encoder:
             self.runs[length] = self.merged(MARK * length)
         return self.runs[length]
 
-    def stretch(self, word: str) -> array:
-        """The ids of a word mark and the word behind it."""
+    def stretch(self, word: str) -> bytes:
+        """The ids of a word mark and the word behind it, as 32-bit integers laid end to end."""
         if (known := self.met.get(word)) is None:
-            known = self.as_ids(self.by_prefixes(MARK + word))
+            known = self.as_ids(self.by_prefixes(MARK + word)).tobytes()
             if len(word) <= LONGEST:
                 if len(self.met) > REMEMBERED:
                     self.met.clear()
                 self.met[word] = known
         return known
 
-    def encode(self, text: str | None) -> array:
-        """The ids of a text and the end id."""
-        ids = array("i")
-        if text:
-            marked = MARK + text.replace(" ", MARK)
-            if not self.by_word:
-                ids.extend(self.as_ids(self.merged(marked)))
+    def packed(self, text: str | None) -> bytes:
+        """The ids of a text and the end id, as 32-bit integers laid end to end."""
+        if not text:
+            return self.end
+        if not self.by_word:
+            return self.as_ids(self.merged(MARK + text.replace(" ", MARK))).tobytes() + self.end
+        words = text.replace(MARK, " ").split(" ")
+        if "" in words:
+            return self._with_runs(words) + self.end
+        try:
+            return b"".join(map(self.met.__getitem__, words)) + self.end
+        except KeyError:
+            return b"".join(map(self.stretch, words)) + self.end
+
+    def _with_runs(self, words: list[str]) -> bytes:
+        """Words with empty ones between them, where several marks stand together."""
+        parts, marks = [], 0
+        for word in words:
+            if not word:
+                marks += 1
+                continue
+            known = self.stretch(word)
+            if marks:
+                # The word takes the last mark of the run if a piece joins them.
+                alone = known[:4] == self.mark
+                parts.append(self.as_ids(self.run(marks + alone)).tobytes())
+                parts.append(known[4:] if alone else known)
+                marks = 0
             else:
-                met, marks = self.met, 0
-                for word in marked.split(MARK)[1:]:
-                    if not word:
-                        marks += 1
-                        continue
-                    known = met.get(word)
-                    if known is None:
-                        known = self.stretch(word)
-                    if marks:
-                        # The word takes the last mark of the run if a piece joins them.
-                        alone = self.vocabulary.pieces[known[0]] == MARK
-                        ids.extend(self.as_ids(self.run(marks + alone)))
-                        ids.extend(known[1:] if alone else known)
-                        marks = 0
-                    else:
-                        ids.extend(known)
-                if marks:
-                    ids.extend(self.as_ids(self.run(marks)))
-        ids.append(self.vocabulary.end)
-        return ids
+                parts.append(known)
+        if marks:
+            parts.append(self.as_ids(self.run(marks)).tobytes())
+        return b"".join(parts)
+
+    def encode(self, text: str | None) -> list[int]:
+        """The ids of a text and the end id."""
+        return array("i", self.packed(text)).tolist()
 
 
 @dataclass
@@ -218,16 +230,15 @@ class Decoder:
             for p, kind in zip(v.pieces, v.kinds)
         ]
         self.kinds = v.kinds
-        self.controls = [i for i, kind in enumerate(v.kinds) if kind == "control"]
+        self.controls = {i for i, kind in enumerate(v.kinds) if kind == "control"}
 
     def decode(self, ids: list[int]) -> str:
         """Byte tokens that are not UTF-8 together become one replacement character each."""
-        ids = list(ids)
         body = list(map(self.raw.__getitem__, ids))
         start = next((k for k, i in enumerate(ids) if self.kinds[i] != "control"), len(ids))
         if start < len(ids) and self.kinds[ids[start]] == "normal" and body[start][:1] == b" ":
             body[start] = body[start][1:]
-        if not any(c in ids[:-1] for c in self.controls):  # one in the middle parts the bytes on its sides
+        if self.controls.isdisjoint(ids[:-1]):  # one in the middle parts the bytes on its sides
             try:
                 return b"".join(body).decode()
             except UnicodeDecodeError:
@@ -298,13 +309,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", i
         encoder = _encoder(sent.value)
         for batch in batches:
             for part in _slices(batch, pc.utf8_length(batch.column(text_column)), BATCH_CHARS):
-                at, flat = array("i", [0]), array("i")
-                for text in part.column(text_column):
-                    flat.extend(encoder.encode(text.as_py()))
-                    at.append(len(flat))
+                found = list(map(encoder.packed, part.column(text_column).to_pylist()))
+                at = array("i", accumulate((len(f) // 4 for f in found), initial=0))
+                flat = b"".join(found)
                 ids = pa.ListArray.from_arrays(
                     pa.Array.from_buffers(pa.int32(), len(at), [None, pa.py_buffer(at)]),
-                    pa.Array.from_buffers(pa.int32(), len(flat), [None, pa.py_buffer(flat)]),
+                    pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]),
                 )
                 yield _replaced(part, ids_column, ids)
 
