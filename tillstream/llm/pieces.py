@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Stretches that a worker remembers; it starts anew when it has met so many.
-REMEMBERED = 400_000
+#: Stretches that a worker remembers, in each of two generations.
+REMEMBERED = 350_000
 #: A stretch longer than this is not remembered.
 LONGEST = 64
 #: Characters of text whose ids are built before a batch goes out.
@@ -68,6 +68,7 @@ class Encoder:
 
     vocabulary: Vocabulary
     met: dict[str, bytes] = field(default_factory=dict)
+    older: dict[str, bytes] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         import ahocorasick
@@ -78,7 +79,8 @@ class Encoder:
         self.score = {p: v.scores[i] for p, i in self.ids.items()}
         self.end = array("i", [v.end]).tobytes()
         self.mark = array("i", [self.ids.get(MARK, -1)]).tobytes()
-        self.fits: dict[tuple[str, str], bool] = {}
+        self.fits: dict[str, dict[str, bool]] = {}
+        self.pairs = 0
         self.runs: dict[int, list[str]] = {}
         # A mark can only stand at the start of a piece, or the piece is a run of marks.
         self.by_word = not any(MARK in p[1:] and p.strip(MARK) for p in self.ids)
@@ -121,33 +123,37 @@ class Encoder:
 
     def stay(self, left: str, right: str) -> bool:
         """Whether two tokens stay as they are when their text is merged alone."""
-        pair = (left, right)
-        if (known := self.fits.get(pair)) is None:
-            if len(self.fits) > REMEMBERED:
-                self.fits.clear()
-            known = self.fits[pair] = self.merged(left + right) == [left, right]
+        if self.pairs > REMEMBERED:
+            self.fits.clear()
+            self.pairs = 0
+        self.pairs += 1
+        known = self.fits.setdefault(left, {})[right] = self.merged(left + right) == [left, right]
         return known
 
     def by_prefixes(self, text: str) -> list[str]:
         """The tokens of a text, from the table of each prefix's last token."""
         if self.tied:
             return self.merged(text)
+        # The automaton reports pieces by their ends, the longest first. A place that none of them ends at has a
+        # character that is not in the vocabulary, which is a token of its own.
         last: list[str | None] = [None] * (len(text) + 1)
-        ending: list[list[str]] = [[] for _ in text]
+        fits = self.fits
         for at, piece in self.automaton.iter(text):
-            ending[at].append(piece)
-        for at, char in enumerate(text):
-            for piece in ending[at]:
-                start = at + 1 - len(piece)
-                if start == 0 or self.stay(last[start], piece):
-                    last[at + 1] = piece
-                    break
-            else:
-                last[at + 1] = char  # not in the vocabulary: its bytes
+            at += 1
+            if last[at] is not None:
+                continue
+            start = at - len(piece)
+            if start:
+                before = last[start] or text[start - 1]
+                known = fits[before].get(piece) if before in fits else None
+                if not (self.stay(before, piece) if known is None else known):
+                    continue
+            last[at] = piece
         tokens, at = [], len(text)
         while at:
-            tokens.append(last[at])
-            at -= len(last[at])
+            token = last[at] or text[at - 1]
+            tokens.append(token)
+            at -= len(token)
         return tokens[::-1]
 
     def as_ids(self, tokens: list[str]) -> array:
@@ -170,10 +176,11 @@ class Encoder:
     def stretch(self, word: str) -> bytes:
         """The ids of a word mark and the word behind it, as 32-bit integers laid end to end."""
         if (known := self.met.get(word)) is None:
-            known = self.as_ids(self.by_prefixes(MARK + word)).tobytes()
+            if (known := self.older.get(word)) is None:
+                known = self.as_ids(self.by_prefixes(MARK + word)).tobytes()
             if len(word) <= LONGEST:
-                if len(self.met) > REMEMBERED:
-                    self.met.clear()
+                if len(self.met) > REMEMBERED:  # what is not met again is forgotten with the older ones
+                    self.older, self.met = self.met, {}
                 self.met[word] = known
         return known
 
