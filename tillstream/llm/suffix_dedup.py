@@ -36,8 +36,9 @@ WINDOW = 400
 GRAM = 64
 #: Different pieces of one anchor that are sorted together.
 HOT = 4000
-#: Bytes of pieces in one suffix array, beyond the last anchor's.
-ARRAY_BYTES = 2_000_000
+#: Bytes of pieces in one suffix array, beyond the last anchor's, and of texts whose anchors are taken at a time.
+ARRAY_BYTES = 1_000_000
+CHUNK = 1 << 18
 _PLACE_BITS = np.uint64(28)
 
 
@@ -82,11 +83,11 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, data, offsets in chunks(batch.column(2)):
+        for first, data, offsets in chunks(batch.column(2), CHUNK):
             text, anchor, a, b = anchors(data, offsets)
-            rows = batch.take(pa.array(first + text))
+            rows = pa.array(first + text)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(_signed(anchor)), pa.array(a), pa.array(b)],
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(_signed(anchor)), pa.array(a), pa.array(b)],
                 ["key_a", "key_b", "anchor", "first", "last"],
             )
 
@@ -244,7 +245,7 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part.column("piece").to_pylist(), np.array(part.column("before").to_pylist(), np.int64),
                 part.column("copies").to_numpy(),
             )
-            rows = part.take(pa.array(pieces.owner))
+            rows = part.select(["piece_a", "piece_b", "copies"]).take(pa.array(pieces.owner))
             second = span_hash(prefix_sums(mix(pieces.data.astype(np.uint64))), pieces.at, pieces.at + WINDOW)
             yield pa.RecordBatch.from_arrays(
                 [
