@@ -42,4 +42,5 @@ def components(links: DataFrame) -> DataFrame:
         following = stored(_small_star(_large_star(now)), "links")
         dropped(now)
         now, before, state = following, state, _sum(following)
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = now.select(F.col("v").alias("u"), "v").distinct()
+    return now.unionAll(roots).select(F.col("u").alias("node"), F.col("v").alias("root"))
