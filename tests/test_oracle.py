@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.compare import connect, differences
+from tillstream.plans import catalog, oracles
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracles.SQL
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +28,8 @@ def test_query_equals_sql(spark, con, name):
 
 def test_entry(spark):
     assert contract.entry(spark).columns == ["transaction_date", "total_sales"]
+
+
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(SQL) <= set(contract.oracle_sql())
