@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Stretches that a worker remembers, in each of two generations.
-REMEMBERED = 350_000
+REMEMBERED = 200_000
 #: A stretch longer than this is not remembered.
 LONGEST = 64
 #: Characters of text whose ids are built before a batch goes out.
@@ -324,6 +324,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", i
                     pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]),
                 )
                 yield _replaced(part, ids_column, ids)
+        encoder.older = {}  # a worker may serve other stages next
 
     return docs.mapInArrow(run, _schema(docs, ids_column, T.ArrayType(T.IntegerType())))
 
