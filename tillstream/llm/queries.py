@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.llm import decontaminate, language, line_dedup, near_dedup, neighbours, passages, pieces, quality, suffix_dedup, url_filter
+from tillstream.llm.rows import in_small_batches
 
 MODEL_FILE = "TOKENIZER_MODEL"
 URL_RULES = [
@@ -17,6 +18,7 @@ URL_RULES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    in_small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

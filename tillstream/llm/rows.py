@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstream.session import new_folder
@@ -39,6 +39,11 @@ def with_results(joined: DataFrame, table: DataFrame, results: Sequence[str]) ->
     return joined.select(*own, *results)
 
 
+def in_small_batches(spark: SparkSession) -> None:
+    """Python workers take texts a thousand rows at a time, as some are very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table, computed once and kept in the shared folder; its files outlive any executor."""
     path = new_folder(df.sparkSession, f"llm-{name}")
