@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tillstream.llm import decontaminate, language, line_dedup, near_dedup, pieces
 from tillstream.llm.queries import digest, table, vocabulary
-from tillstream.llm.rows import stored
+from tillstream.llm.rows import in_small_batches, stored
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model rejects go; it learns from the labels of the others it is given."""
+    in_small_batches(spark)
     model = language.fit(docs.where(~language.held_out()))
     return language.predict(docs, model).where(~F.col("rejected")).select(*docs.columns)
 
@@ -26,6 +27,7 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
+    in_small_batches(spark)
     return near_dedup.near_duplicates(docs).where("kept").select(*docs.columns)
 
 
@@ -37,6 +39,7 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and a digest of what they decode to."""
+    in_small_batches(spark)
     words = vocabulary()
     decoded = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), words), words)
     return decoded.select(
