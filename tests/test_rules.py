@@ -191,3 +191,12 @@ def test_fail_instead_of_quarantine(sales):
     with pytest.raises(quality.QualityError):
         quality.require_clean(checked)
     assert quality.require_clean(checked.where("violations = ''")).count() == 1
+
+
+def test_a_null_key_is_replaced(spark):
+    from tillstream.operators.upsert import replace_keys
+
+    before = spark.createDataFrame([(None, 1.0), ("a", 2.0)], "category string, amount double")
+    changes = spark.createDataFrame([(None, 3.0)], "category string, amount double")
+    after = {tuple(r) for r in replace_keys(before, changes, ["category"]).collect()}
+    assert after == {(None, 3.0), ("a", 2.0)}

@@ -6,6 +6,7 @@ as well as after it, so a key that holds a third of the log sends one row per ma
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,18 +61,19 @@ def upsert_few(
 
 
 def replace_keys(table: DataFrame | None, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """A stored table after changes that hold at most one row per key and always win."""
+    """A stored table after changes that hold at most one row per key and always win; a null key is a key."""
     if table is None:
         return changes
-    kept = table.join(changes, list(keys), "left_anti")
-    return kept.unionByName(changes)
+    mine, theirs = table.alias("mine"), changes.select(*keys).alias("theirs")
+    same = functools.reduce(Column.__and__, (F.col(f"mine.{k}").eqNullSafe(F.col(f"theirs.{k}")) for k in keys))
+    return mine.join(theirs, same, "left_anti").unionByName(changes)
 
 
 def insert_if_absent(
     table: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 ) -> DataFrame:
     """Insert rows whose key is new; an existing key, or an earlier row of the same key, stays."""
-    fresh = first_by(rows, keys, order).join(table, list(keys), "left_anti")
+    fresh = first_by(rows.join(table, list(keys), "left_anti"), keys, order)
     return table.unionByName(fresh.select(table.columns))
 
 

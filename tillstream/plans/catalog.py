@@ -298,7 +298,7 @@ def _run_line_sales_in_parts(spark, sf_dir) -> SalesJob:
     """All line sales in two runs of one job: up to the middle of 1998, then, after a restart, the rest."""
     sales, early = b.sales(spark, sf_dir), F.col("transaction_date") < "1998-07-01"
     root, topic = new_folder(spark, "sales"), new_folder(spark, "sale-topic")
-    for part in (sales.where(early), sales.where(~early)):
+    for part in (sales.where(early), sales.where(~F.coalesce(early, F.lit(False)))):
         messages = _messages(part, SALE, "transaction_id", F.col("product_id").cast("bigint"), "transaction_date")
         publish_folder(messages, topic)
         job = SalesJob(spark, root, _fixed_rates(spark, sf_dir))
