@@ -128,6 +128,16 @@ def test_near(table, odd_rows, words):
         assert (r["n_shingles"], r["component_id"], r["kept"]) == (n, first, r["doc_id"] == first)
 
 
+def test_sketch_never_exceeds_the_difference():
+    rng = np.random.default_rng(2)
+    for size in (1, 20, 300, 4000):
+        for edits in (0, 1, size // 8, size):
+            a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            b = np.unique(np.concatenate([a[edits:], rng.integers(0, 1 << 63, edits).astype(np.uint64)]))
+            bits = sum(int(x).bit_count() for x in (near_dedup.sketch(a) ^ near_dedup.sketch(b)).view(np.uint64))
+            assert bits <= len(np.setxor1d(a, b)) and (edits or bits == 0)
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 101), (102, 101), (7, 7)]
     found = dict(rows_of(components(spark.createDataFrame(links, "u long, v long")), "node", "root"))

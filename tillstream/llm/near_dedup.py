@@ -7,11 +7,13 @@ a bucket. Two sets with a similarity of 0.8 miss each other in all buckets with
 
 Equal sets are one node, so copies cost nothing further. Buckets link in stars: a round picks centres in each bucket, links
 them with the bucket's other members by comparing full sets, and merges the components. One centre serves the
-first round, the member of most and fullest buckets, and four times as many each following one, members of the smallest
+first round, the member of most and fullest buckets, and sixteen times as many each following one, members of the smallest
 components first; no pair is compared twice. So a group of near copies needs about as many links as it has members. A bucket is finished when all its members that have not been centres
 are in one component: then every two members that could still be apart have been compared, and no link is lost. Pairs
-whose sizes rule out the similarity are not compared; after the
-first round, nor are pairs whose sets cannot share enough, because too many of their shingles are in no other set that is left.
+whose sizes rule out the similarity are not compared; after the first round, nor are pairs whose sketches rule it out. A sketch
+has a bit for each of `SKETCH` * 64 parts of the hash range, set if an odd number of the set's shingles lie there; two sets differ in
+at least as many shingles as their sketches do in bits, so the bound is exact. The join judges it, so such pairs are neither
+shuffled nor compared; what is left to them is one count of bits for each centre and member with a common bucket.
 
 Words are what stands between ASCII white space, A-Z taken as a-z. A text with fewer words than a shingle has its whole
 sequence as its only shingle. A null text, or one without words, has an empty set and is linked with nothing. Rows with equal
@@ -35,6 +37,8 @@ from tillstream.llm.text import list_column, mix, text_shingles
 SLOTS = 160
 BANDS = 32
 WORDS = 5
+#: Longs of a sketch.
+SKETCH = 16
 #: Similarity in percent.
 LIMIT = 80
 
@@ -102,14 +106,29 @@ def signatures(rows: DataFrame, words: int) -> DataFrame:
     return rows.select(*KEY, "id", "text").mapInArrow(run, schema)
 
 
+def sketch(shingle_set: np.ndarray) -> np.ndarray:
+    """For each part of the hash range one bit: whether an odd number of the set's hashes lie in it."""
+    part = (shingle_set % np.uint64(64 * SKETCH)).astype(np.int64)
+    odd = np.bincount(part, minlength=64 * SKETCH) % 2
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """(node, shingles): the full set of every row of (node, text), as hashes."""
+    """(node, shingles, sketch): the full set of every row of (node, text), as hashes."""
     def run(batches):
         for batch in batches:
-            found = [_signed(np.unique(mix(values))) for _, values in text_shingles(batch.column(1), words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_column(found, pa.int64())], ["node", "shingles"])
+            found = [np.unique(mix(values)) for _, values in text_shingles(batch.column(1), words)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), list_column([_signed(s) for s in found], pa.int64()),
+                 list_column([sketch(s) for s in found], pa.int64())],
+                ["node", "shingles", "sketch"],
+            )
+
+    return rows.select("node", "text").mapInArrow(run, "node struct<a:long,b:long>, shingles array<long>, sketch array<long>")
+
 
-    return rows.select("node", "text").mapInArrow(run, "node struct<a:long,b:long>, shingles array<long>")
+def _bits(name: str) -> list[str]:
+    return [f"{name}{k}" for k in range(SKETCH)]
 
 
 def _centres(open_: DataFrame, count: int) -> DataFrame:
@@ -117,7 +136,9 @@ def _centres(open_: DataFrame, count: int) -> DataFrame:
     order = "over (partition by bucket order by size, weight desc, xxhash64(node), node)"
     return open_.where(~F.col("used")).withColumn("rank", F.expr(f"row_number() {order}")).where(
         F.col("rank") <= count
-    ).select("bucket", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("centre_root"), F.col("known").alias("centre_known"))
+    ).select("bucket", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("root").alias("centre_root"),
+        *(F.col(mine).alias(theirs) for mine, theirs in zip(_bits("s"), _bits("c")) if mine in open_.columns),
+    )
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -133,15 +154,6 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(links, "similar")
 
 
-def _alone(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, alone): how many shingles of each node are in no other's set."""
-    place = F.xxhash64("node")
-    each = only_keys(sets, nodes, ["node"]).select(place.alias("p"), F.explode("shingles").alias("shingle"))
-    own = each.groupBy("shingle").agg(F.min("p").alias("p"), F.max("p").alias("q")).where("p = q")
-    counts = own.groupBy("p").agg(F.count("*").alias("alone"))
-    return nodes.withColumn("p", place).join(counts, "p").select("node", "alone")
-
-
 def _union(tables: list[DataFrame]) -> DataFrame:
     every = tables[0]
     for more in tables[1:]:
@@ -154,7 +166,7 @@ def _linked(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
     # A member of many full buckets is near many others, and so makes the better centre.
     full = buckets.groupBy("bucket").agg(F.count("*").alias("weight"))
     weights = buckets.join(full, "bucket").groupBy("node").agg(F.sum("weight").alias("weight"))
-    state = buckets.join(weights, "node").withColumns({"used": F.lit(False), "known": F.col("n")})
+    state = buckets.join(weights, "node").withColumn("used", F.lit(False))
     roots, links, tried, count, old = None, [], [], 1, []
     while True:
         if roots is None:
@@ -177,30 +189,32 @@ def _linked(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
             return roots
         centres = stored(_centres(open_, count), "centres")
         fits = 100 * F.least("n", "centre_n") >= LIMIT * F.greatest("n", "centre_n")
-        # At most the shingles that other sets have, too, can be shared.
-        most = F.least("known", "centre_known")
-        fits &= 100 * most >= LIMIT * (F.col("n") + F.col("centre_n") - most)
+        if count > 1:
+            # Sets of the similarity differ in at most so many shingles, and their sketches in no more bits.
+            differ = sum(F.bit_count(F.col(a).bitwiseXOR(F.col(b))).cast("long") for a, b in zip(_bits("s"), _bits("c")))
+            fits &= (100 + LIMIT) * differ <= (100 - LIMIT) * (F.col("n") + F.col("centre_n"))
         pairs = open_.join(centres, "bucket").where(
             (F.col("root") != F.col("centre_root")) & fits
         ).select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")).distinct()
         if tried:
             pairs = pairs.join(_union(tried), ["u", "v"], "left_anti")
         tried.append(stored(pairs, "pairs"))
-        links.append(_verified(tried[-1], sets))
-        if links[-1].head(1):
-            previous, roots = roots, components(_union(links))
-            if previous is not None:
-                dropped(previous)
+        if tried[-1].head(1):
+            links.append(_verified(tried[-1], sets))
+            if links[-1].head(1):
+                previous, roots = roots, components(_union(links))
+                if previous is not None:
+                    dropped(previous)
         now = centres.select("bucket", F.col("centre").alias("node"), F.lit(True).alias("now"))
+        bits = _bits("s") if count > 1 else []
         state = open_.join(now, ["bucket", "node"], "left").select(
-            "bucket", "node", "n", "weight", "known", (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")
+            "bucket", "node", "n", "weight", *bits, (F.col("used") | F.coalesce("now", F.lit(False))).alias("used")
         )
-        old = [open_, centres]
         if count == 1:
-            alone = stored(_alone(open_.select("node").distinct(), sets), "alone")
-            old.append(alone)
-            state = state.join(alone, "node", "left").withColumn("known", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
-        count *= 4
+            drawn = sets.select("node", *(F.col("sketch")[k].alias(s) for k, s in enumerate(_bits("s"))))
+            state = state.join(drawn, "node")
+        old = [open_, centres]
+        count *= 16
 
 
 RESULTS = ["n_shingles", "component_id", "kept"]
