@@ -161,6 +161,14 @@ def test_passages(table, odd_rows):
     assert odd.where("doc_id in (5, 6) and n_repeated > 0").count() == 1
 
 
+def test_passages_in_another_order(table):
+    rng = random.Random(8)
+    parts = [sentence(rng, 60) for _ in range(4)]
+    rows = [(1, " ".join(parts)), (2, " ".join([parts[2], parts[0], parts[3], parts[1]]))]
+    found = {r["doc_id"]: r["n_repeated"] for r in passages.repeated_passages(table(rows)).collect()}
+    assert sorted(found.values()) == [0, 4 * (60 - passages.WORDS + 1)]
+
+
 def test_compact_windows():
     rng = np.random.default_rng(1)
     values = rng.integers(1 << 30, 1 << 62, 300).astype(np.uint64)
