@@ -98,6 +98,26 @@ def test_lookup(sales, updates):
         assert values(out, "product_price") == [1.0] * 4
 
 
+def test_a_stored_rate_counts_whatever_its_code(spark, sales, updates):
+    stored = rates.stored(updates({"from_currency": "USDT", "exchange_rate": 2.0}))
+    for limit in (10, 0):
+        out = enrich.convert_latest(sales({"currency": "USDT", "total_amount": 10.0}), stored, broadcast_rows=limit)
+        assert dicts(out, "total_amount", "rate_status") == [{"total_amount": 20.0, "rate_status": "hit"}]
+    long = spark.createDataFrame([("x" * 1000, 1.0)], "_code string, _rate double")
+    assert enrich.is_small(long, 16) and not enrich.is_small(long, 15)
+
+
+def test_amounts_that_cannot_be_summed_are_set_aside(sales):
+    df = sales(*({"total_amount": x} for x in (float("nan"), 1e19, float("-inf"), 1.0, None)))
+    assert dicts(totals.sales_per_day(df)) == [{"transaction_date": DAY(2024, 1, 1), "total_sales": 1.0}]
+    assert dicts(totals.category_total(df)) == [{"category": "home", "total_sales": 1.0}]
+    assert [r["total_sales"] for r in dicts(totals.category_running(df))] == [1.0]
+    last = totals.processing_date_day(df, DAY(2024, 2, 1), ["arrival_seq"])
+    assert [r["total_sales"] for r in dicts(last)] == [1.0]
+    reasons = values(quality.check_sales(df), "violations", "arrival_seq")
+    assert reasons == ["amount_out_of_range"] * 3 + ["", ""]
+
+
 def test_unreadable_rates_leave_amounts(spark, sales):
     rates_table = table_or_none(lambda: spark.read.parquet("/tmp/no-such-rates"))
     out = enrich.convert_latest(sales({"total_amount": 10.0}), rates_table)

@@ -125,13 +125,23 @@ def test_seeding(rates_job, rates_topic, updates):
 def test_old_versions_are_dropped(spark, tmp_path, rates_topic):
     for n in range(1, 5):
         rates_topic.send(rate("EUR", n))
-    job = run(RatesJob(spark, str(tmp_path / "r"), keep_versions=2), rates_topic)
+    job = run(RatesJob(spark, str(tmp_path / "r"), keep_versions=2, keep_seconds=0), rates_topic)
     assert job.versions.numbers() == [2, 3]
     assert stored(job) == {"EUR": 4.0}
     with pytest.raises(ValueError):
         RatesJob(spark, job.root, keep_versions=1)
 
 
+def test_a_table_in_use_survives_later_batches(spark, tmp_path, rates_topic):
+    job = run(RatesJob(spark, str(tmp_path / "r"), keep_versions=2), rates_topic.send(rate("EUR", 1)))
+    held = job.table()
+    for n in range(2, 6):
+        rates_topic.send(rate("EUR", n))
+    run(job, rates_topic)
+    assert [float(r.exchange_rate) for r in held.collect()] == [1.0]
+    assert stored(job) == {"EUR": 5.0}
+
+
 # Sales
 
 def test_sales_tables(rates_job, sales_job, rates_topic, sales_topic):
@@ -406,6 +416,23 @@ def test_changes_are_published_after_each_batch(spark, tmp_path, rates_topic, sa
     assert [r["total_sales"] for r in seen[1]["sales_per_category"]] == [12.0, 28.0]
 
 
+def test_published_rows_are_those_of_the_table(spark, tmp_path, rates_job, sales_topic):
+    seen = []
+
+    def publish(changes):
+        seen.append(dicts(changes["transactions"], "transaction_id", "total_amount"))
+
+    job = SalesJob(spark, str(tmp_path / "p"), rates_job.table, publish=publish)
+    sales_topic.send(sale("a", 1.0), sale("b", 5.0), at="2024-01-01T12:00:00").send(sale("a", 2.0), at="2024-01-01T11:00:00")
+    run(job, sales_topic)
+    job.compact()
+    run(job, sales_topic.send(sale("a", 3.0), sale("c", 7.0), at="2024-01-01T11:30:00"))
+    table = {r.transaction_id: r.total_amount for r in job.transactions().collect()}
+    assert len(seen) == 3
+    for batch in seen:
+        assert {r["transaction_id"]: r["total_amount"] for r in batch}.items() <= table.items()
+
+
 def test_job_publishes_processing_dates_if_asked(spark, tmp_path, sales_job, sales_topic):
     seen = []
     dated = SalesJob(

@@ -6,18 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.functions.codes import BASE_CURRENCY
 from tillstream.functions.money import converted
-from tillstream.schemas import RATE
 
 # Rows hold a code, a rate and at most three times, so this many take about a hundred megabytes.
 BROADCAST_ROWS = 1_000_000
+# A row whose texts are longer than this counts as several.
+ROW_TEXT_BYTES = 64
 
 
 def is_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a stored table is small enough to broadcast, by its row count."""
-    return side.count() <= max_rows
+    """Whether a stored table is small enough to broadcast, by its rows and the bytes of its texts."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in side.schema if isinstance(f.dataType, T.StringType)]
+    weight = F.floor(sum(texts, F.lit(0)) / (ROW_TEXT_BYTES + 1)) + 1
+    return (side.agg(F.sum(weight)).first()[0] or 0) <= max_rows
 
 
 def small_or_shuffled(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -29,9 +33,8 @@ def small_or_shuffled(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFr
 
 
 def known_codes(rates: DataFrame, base: str) -> DataFrame:
-    """Rates into `base` from codes a rate table can hold; short codes make a row count a size bound."""
-    code = F.col("from_currency")
-    return rates.where((F.col("to_currency") == base) & (F.length(code) <= RATE.text_limits()["from_currency"]))
+    """Rates into `base`, whatever the length of their codes."""
+    return rates.where((F.col("to_currency") == base) & F.col("from_currency").isNotNull())
 
 
 def rates_into(rates: DataFrame, base: str = BASE_CURRENCY) -> DataFrame:

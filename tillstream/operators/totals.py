@@ -1,5 +1,8 @@
 """Sales totals. Every arrival counts, totals never reset, and no row is ever too late.
 
+A sale whose amount no exact sum can hold (NaN, infinite, out of range) is set aside in batch as it is in a
+stream: it is in no total, and `quality.check_sales` gives the reason.
+
 Sums are taken per day and category in an exact decimal, combined before the shuffle, so a hot
 category costs one row per map task; running totals then work on those few rows.
 """
@@ -12,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstream.functions.money import exact_sum
+from tillstream.functions.money import exact_sum, fits_money
 from tillstream.functions.order import order_value
 
 
@@ -20,9 +23,15 @@ def sale_day(at: str = "transaction_date") -> Column:
     return F.to_date(F.col(at))
 
 
+def summable(sales: DataFrame) -> DataFrame:
+    """Without the sales that are set aside for their amount."""
+    amount = F.col("total_amount")
+    return sales.where(amount.isNull() | fits_money(amount))
+
+
 def category_sales(sales: DataFrame) -> DataFrame:
     """(day, category, amount): the part of a sale that totals need."""
-    return sales.select(
+    return summable(sales).select(
         sale_day().alias("transaction_date"),
         F.col("product_category").alias("category"),
         F.col("total_amount").alias("amount"),
@@ -98,7 +107,7 @@ def processing_date_day(
 ) -> DataFrame:
     """The total of the last arrival's day, filed under the day the job ran."""
     day = run_date if isinstance(run_date, Column) else F.lit(run_date)
-    days = sales.groupBy(sale_day().alias("_day")).agg(
+    days = summable(sales).groupBy(sale_day().alias("_day")).agg(
         exact_sum(F.col("total_amount")).cast("double").alias("_total"),
         F.max(order_value(order)).alias("_last"),
     )

@@ -6,9 +6,14 @@ same number again replaces it. Old copies can be dropped.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+#: How long a replaced copy stays for those who still read it.
+KEEP_SECONDS = 3600.0
+
 
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -57,7 +62,21 @@ class Versions:
         """Drop a copy, if it is there."""
         delete_folder(self.spark, self.path(number))
 
-    def expire(self, keep: int) -> None:
-        """Drop all but the newest copies. A copy that builds on the one before needs at least two."""
-        for number in self.numbers()[:-keep]:
-            self.discard(number)
+    def replaced(self, seconds: float) -> list[int]:
+        """Copies that a newer one replaced at least so long ago: nobody has been given them since."""
+        times, before = {}, time.time() - seconds
+        where, files = _file_system(self.spark, f"{self.root}/version=*/_SUCCESS")
+        for found in files.globStatus(where) or []:
+            times[int(found.getPath().getParent().getName().split("=")[1])] = found.getModificationTime() / 1000
+        numbers = sorted(times)
+        return [n for n, newer in zip(numbers, numbers[1:]) if times[newer] <= before]
+
+    def expire(self, keep: int, seconds: float = 0) -> None:
+        """Drop all but the newest copies, if they were replaced so long ago that no reader can hold them.
+
+        A copy that builds on the one before needs at least two.
+        """
+        old = self.numbers()[:-keep]
+        if old:
+            for number in sorted({*old} & {*self.replaced(seconds)} if seconds else old):
+                self.discard(number)

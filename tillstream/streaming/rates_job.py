@@ -12,7 +12,7 @@ from tillstream.operators import quality, rates
 from tillstream.operators.upsert import first_by, upsert
 from tillstream.schemas import ARRIVAL, RATE, STORED_RATES
 from tillstream.sinks.database import RATES_TABLE, Publish
-from tillstream.sinks.versions import Versions
+from tillstream.sinks.versions import KEEP_SECONDS, Versions
 from tillstream.sources.decode import decode
 from tillstream.streaming.batches import BatchLog, run_batches
 from tillstream.streaming.event_time import with_event_time
@@ -22,6 +22,8 @@ from tillstream.streaming.event_time import with_event_time
 class RatesJob:
     """Writes below `root`: `log` (all updates, bad ones with reasons) and `table` versions.
 
+    A version stays for `keep_seconds` after a newer one has replaced it, so that who reads it can finish; that must
+    exceed the longest batch of sales.
     `publish` is given the changed rates after every batch, and again if the batch is retried.
     """
 
@@ -31,6 +33,7 @@ class RatesJob:
     on_bad_row: str = "quarantine"
     newest_time_wins: bool = False
     keep_versions: int = 50
+    keep_seconds: float = KEEP_SECONDS
     publish: Publish | None = None
 
     def __post_init__(self):
@@ -66,7 +69,7 @@ class RatesJob:
         good = self.log.accepted(batch_id)
         table = upsert(self.versions.read(before=batch_id), good, RATE.key, self.order)
         self.versions.write(batch_id, table)
-        self.versions.expire(self.keep_versions)
+        self.versions.expire(self.keep_versions, self.keep_seconds)
         if self.publish is not None:
             changed = self.table().join(good.select(*RATE.key).distinct(), list(RATE.key), "left_semi")
             self.publish({RATES_TABLE: changed})
@@ -88,7 +91,7 @@ class RatesJob:
         return self.log.accepted_between(None, -1 if upto is None else upto)
 
     def register_views(self) -> None:
-        """Name the present table for SQL."""
+        """Name the present table for SQL. The view keeps to this version: register again to follow the stream."""
         self.table().createOrReplaceTempView(RATES_TABLE)
 
     def quarantine(self) -> DataFrame:

@@ -21,7 +21,7 @@ from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest
 from tillstream.operators.upsert import last_by, replace_keys, upsert_few
 from tillstream.schemas import SALE, SALES_PER_CATEGORY, SALES_PER_DAY, STORED_SALES
 from tillstream.sinks.database import CATEGORY_TABLE, DAY_TABLE, SALES_TABLE, Publish
-from tillstream.sinks.versions import Versions, delete_folder
+from tillstream.sinks.versions import KEEP_SECONDS, Versions, delete_folder
 from tillstream.sources.decode import decode
 from tillstream.sources.tables import table_or_none
 from tillstream.streaming.batches import BatchLog, run_batches
@@ -63,6 +63,7 @@ class SalesJob:
     processing_date: Callable[[], F.Column] | None = None
     broadcast_rows: int = BROADCAST_ROWS
     keep_versions: int = 50
+    keep_seconds: float = KEEP_SECONDS
     publish: Publish | None = None
 
     def __post_init__(self):
@@ -89,7 +90,7 @@ class SalesJob:
         sums = totals.daily_category_sums(good)
         before = self.versions("sums").read(before=batch_id)
         self.versions("sums").write(batch_id, sums if before is None else totals.merge_sums(before, sums))
-        self.versions("sums").expire(self.keep_versions)
+        self.versions("sums").expire(self.keep_versions, self.keep_seconds)
         if self.publish is not None:
             self.publish(self._changes(good))
 
@@ -97,11 +98,20 @@ class SalesJob:
         """What a database must upsert after a batch: its sales by id, and the two small totals tables."""
         dated = self.processing_date is None
         return {
-            SALES_TABLE: last_by(good, SALE.key, ["arrival"]).select(*SALE.columns),
+            SALES_TABLE: self._winners(good),
             CATEGORY_TABLE: self.sales_per_category() if dated else self.processed("category"),
             DAY_TABLE: self.sales_per_day() if dated else self.processed("day"),
         }
 
+    def _winners(self, good: DataFrame) -> DataFrame:
+        """The rows that the transactions table now holds for the ids of a batch, which may be older ones."""
+        base, done = self.versions("compacted").read(), self.versions("compacted").newest()
+        rows = self.log.accepted_between(done, self.committed()).drop("rate_status")
+        if base is not None:
+            rows = rows.unionByName(base)
+        touched = rows.join(good.select(*SALE.key).distinct(), list(SALE.key), "left_semi")
+        return last_by(touched, SALE.key, ["arrival"]).select(*SALE.columns)
+
     def _converted(self, batch_id: int, sales: DataFrame, rates: DataFrame | None) -> DataFrame:
         land = partial(self._landed, batch_id)
         if self.as_of and rates is not None:
@@ -139,7 +149,7 @@ class SalesJob:
         ):
             versions = self.versions(name)
             versions.write(batch_id, replace_keys(versions.read(before=batch_id), changes, keys))
-            versions.expire(self.keep_versions)
+            versions.expire(self.keep_versions, self.keep_seconds)
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         typed = decode(messages.withColumn("message", F.col("value")), SALE)
@@ -195,7 +205,7 @@ class SalesJob:
         return self.versions(f"processed_{name}").read()
 
     def register_views(self) -> None:
-        """Name the present tables for SQL."""
+        """Name the present tables for SQL. The views keep to them: register again to follow the stream."""
         self.transactions().createOrReplaceTempView(SALES_TABLE)
         self.sales_per_category().createOrReplaceTempView(CATEGORY_TABLE)
         self.sales_per_day().createOrReplaceTempView(DAY_TABLE)
