@@ -40,7 +40,8 @@ def with_results(joined: DataFrame, table: DataFrame, results: Sequence[str]) ->
 
 
 def in_small_batches(spark: SparkSession) -> None:
-    """Python workers take texts a thousand rows at a time, as some are very long."""
+    """Python workers take texts a thousand rows or 8 MB at a time, as some are very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 

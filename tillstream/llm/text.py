@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at a time; a longer single text is taken whole. Arrays need about 40 bytes each.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
