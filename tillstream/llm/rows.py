@@ -60,8 +60,8 @@ def dropped(df: DataFrame) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def only_keys(table: DataFrame, keys: DataFrame, on: list[str], count: int | None = None) -> DataFrame:
-    """Rows of the table whose key is listed; a counted short list is broadcast."""
+def only_keys(table: DataFrame, keys: DataFrame, on: list[str], count: int | None = None, how: str = "left_semi") -> DataFrame:
+    """Rows of the table whose key is listed (or, by `left_anti`, is not); a counted short list is broadcast."""
     if (keys.count() if count is None else count) <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
-    return table.join(keys, on, "left_semi")
+    return table.join(keys, on, how)
