@@ -124,12 +124,17 @@ def shingles(hashes: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndar
     return mix(total), begins
 
 
-def text_shingles(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, hashes of its shingles in order) of every row of a column."""
+def chunk_shingles(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, hashes of the shingles in order, where each text's begin and the last's end) of runs of whole texts."""
     for first, data, offsets in chunks(column):
         hashes, _, _, firsts = words(data, offsets)
-        values, begins = shingles(hashes, firsts, size)
-        for k in range(len(offsets) - 1):
+        yield first, *shingles(hashes, firsts, size)
+
+
+def text_shingles(column: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, hashes of its shingles in order) of every row of a column."""
+    for first, values, begins in chunk_shingles(column, size):
+        for k in range(len(begins) - 1):
             yield first + k, values[begins[k] : begins[k + 1]]
 
 
