@@ -194,3 +194,35 @@ def test_empty(table, run):
 def test_native_plan(table):
     plan = line_dedup.dedup_lines(table([(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and F is not None
+
+
+def test_windows_of_texts_one_after_the_other():
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    values[220:300] = values[220]
+    begins = np.array([0, 10, 10, 210, 400])
+    together = np.stack(passages.text_windows(values, begins)[:3], axis=1)
+    alone = [passages.compact_windows(values[i:j]) + i for i, j in zip(begins, begins[1:])]
+    assert together.tolist() == np.concatenate(alone).tolist()
+
+
+def test_signatures_are_those_of_all_passages():
+    rng = np.random.default_rng(4)
+    shingles = rng.integers(0, 60, 150).astype(np.uint64)
+    functions = [passages.text_windows(passages.mix(shingles ^ s), np.array([0, 150])) for s in passages._SEEDS]
+    _, place, low, high = passages.signatures(functions, [np.ones(len(f.c), bool) for f in functions])
+    wanted = set()
+    for i in range(150):
+        for j in range(i + passages.LENGTH, 151):
+            at = [i + int((passages.mix(shingles[i:j] ^ s) >> np.uint64(28)).argmin()) for s in passages._SEEDS]
+            wanted.add((at[0], min(at), max(at)))
+    assert set(zip(place.tolist(), low.tolist(), high.tolist())) == wanted
+
+
+def test_copies_lose_their_whole_text(table):
+    rng = random.Random(8)
+    text = sentence(rng, 70)
+    rows = [(1, text), (2, text), (2, text), (3, text), (4, sentence(rng, 30)), (5, sentence(rng, 30))]
+    found = [(r["doc_id"], r["n_repeated"]) for r in passages.repeated_passages(table(rows)).collect()]
+    lost = {i: n for i, n in found}
+    assert len(found) == 6 and sorted(lost[i] for i in (1, 2, 3)) == [0, 66, 66] and lost[4] == lost[5] == 0
