@@ -226,3 +226,30 @@ def test_copies_lose_their_whole_text(table):
     found = [(r["doc_id"], r["n_repeated"]) for r in passages.repeated_passages(table(rows)).collect()]
     lost = {i: n for i, n in found}
     assert len(found) == 6 and sorted(lost[i] for i in (1, 2, 3)) == [0, 66, 66] and lost[4] == lost[5] == 0
+
+
+@pytest.mark.parametrize("count", [50, 60, 70, 90])
+def test_a_changed_middle_word_does_not_end_a_passage(count):
+    rng = np.random.default_rng(count)
+    n, words = count - passages.WORDS + 1, passages.WORDS
+    passage, middle = rng.integers(0, 1 << 62, n), n // 2
+    edited = passage.copy()
+    edited[middle - words // 2 : middle - words // 2 + words] = rng.integers(0, 1 << 62, words)
+    ours = np.concatenate([rng.integers(0, 1 << 62, 100), passage, rng.integers(0, 1 << 62, 80)]).astype(np.uint64)
+    theirs = np.concatenate([rng.integers(0, 1 << 62, 30), edited, rng.integers(0, 1 << 62, 90)]).astype(np.uint64)
+    for at in (3, n - 4):
+        place = {"place": 100 + at, "other": 30 + at, "low": 100 + at, "high": 100 + at}
+        assert passages.passages(ours, theirs, [place]) == [(100, 100 + n)]
+    ours[100:103] = 1  # too few are left of the shorter ones
+    found = passages.passages(ours, theirs, [{"place": 104, "other": 34, "low": 104, "high": 104}])
+    assert found == ([] if count < 60 else [(103, 100 + n)])
+
+
+def test_changed_passages_in_another_order():
+    rng = np.random.default_rng(5)
+    ours = rng.integers(0, 1 << 62, 224).astype(np.uint64)
+    theirs = np.concatenate([ours[k * 56 : k * 56 + 56] for k in (2, 0, 3, 1)])
+    theirs[[k * 56 + j for k in range(4) for j in range(26, 31)]] = 7
+    places = [{"place": k * 56 + 5, "other": at * 56 + 5, "low": k * 56 + 5, "high": k * 56 + 5} for k, at in enumerate((1, 3, 0, 2))]
+    found = passages.passages(ours, theirs, places)
+    assert set().union(*(range(a, b) for a, b in found)) == set(range(224))
