@@ -228,6 +228,10 @@ def test_copies_lose_their_whole_text(table):
     assert len(found) == 6 and sorted(lost[i] for i in (1, 2, 3)) == [0, 66, 66] and lost[4] == lost[5] == 0
 
 
+def met(*pairs):
+    return [{"places": [{"place": p, "low": p, "high": p}], "others": [o]} for p, o in pairs]
+
+
 @pytest.mark.parametrize("count", [50, 60, 70, 90])
 def test_a_changed_middle_word_does_not_end_a_passage(count):
     rng = np.random.default_rng(count)
@@ -238,10 +242,9 @@ def test_a_changed_middle_word_does_not_end_a_passage(count):
     ours = np.concatenate([rng.integers(0, 1 << 62, 100), passage, rng.integers(0, 1 << 62, 80)]).astype(np.uint64)
     theirs = np.concatenate([rng.integers(0, 1 << 62, 30), edited, rng.integers(0, 1 << 62, 90)]).astype(np.uint64)
     for at in (3, n - 4):
-        place = {"place": 100 + at, "other": 30 + at, "low": 100 + at, "high": 100 + at}
-        assert passages.passages(ours, theirs, [place]) == [(100, 100 + n)]
+        assert passages.passages(ours, theirs, met((100 + at, 30 + at))) == [(100, 100 + n)]
     ours[100:103] = 1  # too few are left of the shorter ones
-    found = passages.passages(ours, theirs, [{"place": 104, "other": 34, "low": 104, "high": 104}])
+    found = passages.passages(ours, theirs, met((104, 34)))
     assert found == ([] if count < 60 else [(103, 100 + n)])
 
 
@@ -250,6 +253,33 @@ def test_changed_passages_in_another_order():
     ours = rng.integers(0, 1 << 62, 224).astype(np.uint64)
     theirs = np.concatenate([ours[k * 56 : k * 56 + 56] for k in (2, 0, 3, 1)])
     theirs[[k * 56 + j for k in range(4) for j in range(26, 31)]] = 7
-    places = [{"place": k * 56 + 5, "other": at * 56 + 5, "low": k * 56 + 5, "high": k * 56 + 5} for k, at in enumerate((1, 3, 0, 2))]
-    found = passages.passages(ours, theirs, places)
+    found = passages.passages(ours, theirs, met(*((k * 56 + 5, at * 56 + 5) for k, at in enumerate((1, 3, 0, 2)))))
     assert set().union(*(range(a, b) for a, b in found)) == set(range(224))
+
+
+def test_all_places_of_a_leader_are_compared(table):
+    rows = []
+    for k in range(24):
+        rng = random.Random(k)
+        far = [sentence(rng, 60, 100_000) for _ in range(4)]
+        passage = sentence(rng, 60, 100_000).split()
+        other = [f"x{w}" if j < 6 or j >= 54 else w for j, w in enumerate(passage)]  # too far from the passage
+        rows += [(2 * k, " ".join([far[0], *other, far[1], *passage, far[2]])), (2 * k + 1, " ".join([*passage, far[3]]))]
+    found = {r["doc_id"]: r["n_repeated"] for r in passages.repeated_passages(table(rows)).collect()}
+    n = 60 - passages.WORDS + 1
+    for k in range(24):  # the other one, without its ends, is a passage too
+        assert (found[2 * k], found[2 * k + 1]) in ((0, n), (n, 0), (n + passages.LENGTH, 0))
+
+
+def test_a_signature_has_one_row_with_all_its_places():
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    refrain = sentence(rng, 60, 100_000)
+    text = " ".join([sentence(rng, 90, 100_000), refrain, sentence(rng, 90, 100_000), refrain])
+    (_, shingles, begins), = passages.chunk_shingles(pa.array([text]), passages.WORDS)
+    values = [passages._signed(passages.text_windows(passages.mix(shingles ^ s), begins).values) for s in passages._SEEDS]
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text]), pa.array([np.concatenate(values)])], ["ref", "text", "values"])
+    rows = pa.Table.from_batches(passages._member_rows(iter([batch]))).to_pylist()
+    assert len({r["sign"] for r in rows}) == len(rows)
+    assert {b["place"] - a["place"] for r in rows if len(r["places"]) == 2 for a, b in [r["places"]]} == {150}
