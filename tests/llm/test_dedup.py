@@ -283,3 +283,26 @@ def test_a_signature_has_one_row_with_all_its_places():
     rows = pa.Table.from_batches(passages._member_rows(iter([batch]))).to_pylist()
     assert len({r["sign"] for r in rows}) == len(rows)
     assert {b["place"] - a["place"] for r in rows if len(r["places"]) == 2 for a, b in [r["places"]]} == {150}
+
+
+def test_repeats_at_the_start_of_a_text(table):
+    rng = random.Random(10)
+
+    def letters(count):
+        return "".join(rng.choice("ab") for _ in range(count))
+
+    rows = []
+    for k in range(12):  # the byte laid before a text's first piece is by chance that before the other occurrence
+        passage = letters(420 + 20 * k)
+        rows += [(2 * k, passage + letters(500)), (2 * k + 1, letters(500) + passage + letters(300))]
+    found = suffix_dedup.remove_repeats(table(rows))
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_removed"], bytes(r["kept"])) for r in found.collect()), key=repr)
+    assert got == bytes_by_hand(rows)
+
+
+def test_a_window_without_a_byte_before_has_a_sign_of_its_own():
+    rng = random.Random(11)
+    a, b = sentence(rng, 200).encode()[:500], sentence(rng, 200).encode()
+    bodies, before = [b[:450] + b"k", a + b"X", b"1" + b[450:600] + b"k" + a + b"Y"], np.array([0, 0, 1])
+    pieces = suffix_dedup._Pieces(bodies, before, np.ones(3, np.int64))
+    assert suffix_dedup._spans(pieces) == [[], [(0, 500)], [(152, 652)]]

@@ -126,7 +126,8 @@ class _Pieces:
         self.owner, self.at, self.edge = owner, at, at == first
         sums = prefix_sums(self.data)
         self.hash = span_hash(sums, at, at + WINDOW)
-        self.left = np.where(at > 0, self.data[np.maximum(at, 1) - 1].astype(np.int64), 0)
+        # The byte before each window; a window that begins a text has none, and a sign that no byte has.
+        self.left = np.where(self.edge & (np.asarray(before) == 0)[owner], 256, self.data[np.maximum(at, 1) - 1].astype(np.int64))
 
     def starts(self) -> np.ndarray:
         """Numbers of the windows that can begin a maximal repeat."""
