@@ -180,6 +180,28 @@ def test_neighbours_recall(spark):
     assert hits / (20 * len(asked)) >= 0.9
 
 
+@pytest.mark.parametrize("scale, dims", [(1, 16), (3, 32)])
+def test_neighbours_among_copies(scale, dims):
+    """A third of a shard's rows are equal, many more than a search holds."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(12)
+    matrix = rng.normal(size=(3000, dims))
+    hot = rng.permutation(3000)[:1000]
+    matrix[hot] = scale * rng.normal(size=dims)
+    shard = pa.table({"id": np.arange(3000), "vector": matrix.tolist()})
+    found = neighbours._answers(20, neighbours.SEARCH_WIDTH)((), shard, shard.take(np.arange(0, 3000, 20))).to_pandas()
+    copies, others = [], []
+    for q in range(0, 3000, 20):
+        score = (matrix * matrix[q]).sum(axis=1)
+        score[q] = -np.inf
+        best = np.lexsort((np.arange(3000), -score))[:20]
+        own = list(found[found["query_id"] == q]["vec_id"])
+        assert len(own) == len(set(own)) == 20 and q not in own
+        (copies if q in hot else others).append(len(set(best) & set(own)) / 20)
+    assert np.mean(copies) == 1 and np.mean(others) >= 0.97
+
+
 def test_neighbours_odd(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
