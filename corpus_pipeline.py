@@ -26,9 +26,9 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One row of each group of near duplicates stays, whatever ids its rows have."""
     in_small_batches(spark)
-    return near_dedup.near_duplicates(docs).where("kept").select(*docs.columns)
+    return near_dedup.one_of_each(docs)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -250,6 +250,22 @@ def test_query_equals_sql(spark, name):
     assert rows == 1000 and found == []
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, table):
+    rng = random.Random(13)
+    texts = [sentence(rng, 80) for _ in range(5)]
+    near = [f"{t} more" for t in texts]
+    rows = [(1, texts[0]), (1, near[0]), (1, near[0]), (2, texts[1]), (2, texts[1]), (2, texts[1]),  # equal ids, repeated rows
+            (None, texts[2]), (None, near[2]), (None, near[2]), (None, texts[3]), (9, near[3]), (8, texts[3]),  # null ids
+            (1, texts[4]), (5, None), (5, ""), (6, "")]
+    docs = table(rows)
+    found = corpus_pipeline.remove_near_duplicates(spark, docs, SF)
+    assert found.columns == docs.columns
+    kept = [(r["doc_id"], r["text"]) for r in found.collect()]
+    groups = [{texts[k], near[k]} for k in range(5)]
+    assert [[i for i, t in kept if t in g] for g in groups] == [[1], [2], [None], [8], [1]]
+    assert sorted((i, t or "") for i, t in kept if not t) == [(5, ""), (5, ""), (6, "")]
+
+
 def test_pipeline(spark, tmp_path):
     stages, docs = [], queries.table(spark, SF, "documents")
     for name, stage in corpus_pipeline.STAGES:

@@ -220,11 +220,8 @@ def _linked(buckets: DataFrame, sets: DataFrame) -> DataFrame | None:
 RESULTS = ["n_shingles", "component_id", "kept"]
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
-    """The table with set size, component (its smallest id) and whether the document names its component."""
-    rows = keyed(docs, id_column, text_column)
+def _grouped(rows: DataFrame, words: int) -> DataFrame:
+    """(key, id, n, group) of every row: its set's size and its component."""
     signed = stored(signatures(rows, words), "signatures").withColumn("node", F.struct(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
     banded = signed.where("n > 0").select("node", "n", F.explode("keys").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("x"), F.max("node").alias("y")).where(
@@ -250,9 +247,30 @@ def near_duplicates(
         placed = placed.join(roots, "node", "left").withColumn("node", F.coalesce("root", "node"))
     # An empty set is a group of its own for each document.
     group = F.struct("node", *(F.when(F.col("n") == 0, F.col(k)).otherwise(F.lit(0)).alias(k) for k in KEY))
-    placed = placed.withColumn("group", group)
+    return placed.select(*KEY, "id", "n", group.alias("group"))
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The table with set size, component (its smallest id) and whether the document names its component."""
+    rows = keyed(docs, id_column, text_column)
+    placed = _grouped(rows, words)
     named = placed.groupBy("group").agg(F.min("id").alias("component_id"))
     placed = placed.join(named, "group").select(
         *KEY, F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     ).distinct()
     return with_results(rows.select(*KEY, "row").join(placed, KEY), docs, RESULTS)
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each component: that of its smallest id, null ids last; of rows equal in id and text, the smallest."""
+    rows = keyed(docs, id_column, text_column)
+    counted = _grouped(rows, words).groupBy("group", *KEY).agg(F.min("id").alias("id"), F.count("*").alias("rows"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", *KEY, "rows")
+    kept = stored(counted.groupBy("group").agg(F.min(order).alias("first")).select(*(F.col("first")[k].alias(k) for k in (*KEY, "rows"))), "kept")
+    once = only_keys(rows, kept.where("rows = 1").select(*KEY), KEY).select("row")
+    again = kept.where("rows > 1").select(*KEY)
+    if again.head(1):
+        once = once.unionAll(only_keys(rows, again, KEY).groupBy(*KEY).agg(F.min("row").alias("row")).select("row"))
+    return once.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
