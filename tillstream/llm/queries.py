@@ -7,8 +7,12 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstream.llm import decontaminate, language, line_dedup, near_dedup, neighbours, passages, pieces, quality, suffix_dedup, url_filter
+from tillstream.llm import (
+    conversations, decontaminate, language, line_dedup, near_dedup, neighbours, passages, pieces, quality, sharding, suffix_dedup,
+    url_filter, whitening,
+)
 from tillstream.llm.rows import in_small_batches
+from tillstream.session import new_folder
 
 MODEL_FILE = "TOKENIZER_MODEL"
 URL_RULES = [
@@ -102,7 +106,47 @@ def op10_sentencepiece(spark, sf_dir):
     )
 
 
-QUERIES = [op1_line_dedup, op2_suffix_dedup, op3_near_dedup, op4_nearest_neighbours, op5_quality, op6_decontamination, op7_substring_dedup, op8_url_filter, op9_language_id, op10_sentencepiece]
+def op11_embedding_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(
+        F.col("id").alias("vec_id"), "component", "n", F.col("deviation").try_cast("long").alias("deviation"),
+        "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_wide"),
+    )
+
+
+def op12_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = sharding.shard_records(docs, new_folder(spark, "llm-slot-maps"), shards=24)
+    return found.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+    )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with the faults that op13 repairs, chosen by a checksum of id and turn; dropped rows are not `present`."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    fault, text = F.crc32(key.cast("binary")) % 20, F.coalesce(F.col("text"), F.lit(" "))
+    copies = F.array_repeat(F.lit(0), F.when(fault == 3, 2).otherwise(1))
+    return turns.select(
+        "conv_id", "turn", (fault != 0).alias("present"),
+        F.when(fault == 4, "user").otherwise(F.coalesce(F.col("role"), F.lit(" "))).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(copies).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversation_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversations.repair_conversations(damaged(turns), present="present")
+    return conversations.with_digest(found, "repaired_sha256").drop("repaired").withColumnRenamed("conv", "conv_id")
+
+
+QUERIES = [
+    op1_line_dedup, op2_suffix_dedup, op3_near_dedup, op4_nearest_neighbours, op5_quality,
+    op6_decontamination, op7_substring_dedup, op8_url_filter, op9_language_id, op10_sentencepiece,
+    op11_embedding_whitening, op12_sharding, op13_conversation_repair,
+]
 
 
 def queries():

@@ -12,6 +12,8 @@ from tillstream.session import new_folder
 #: A list of 128-bit keys up to this length (some 16 MB) is broadcast; a longer one is shuffled.
 BROADCAST_KEYS = 400_000
 KEY = ["key_a", "key_b"]
+#: At most this many keys are taken as hot.
+HOT_KEYS = 10_000
 
 
 def hash_pair(*columns: Column | str, seed: int = 0) -> list[Column]:
@@ -65,3 +67,14 @@ def only_keys(table: DataFrame, keys: DataFrame, on: list[str], count: int | Non
     if (keys.count() if count is None else count) <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
     return table.join(keys, on, how)
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, on: list[str], copies: str, total: int) -> DataFrame:
+    """Inner join of `total` rows with one row per key, whose `copies` column says how many rows have the key.
+
+    Keys with more than a `HOT_KEYS`th of the rows, which can be no more than `HOT_KEYS`, are broadcast, so their rows are
+    not shuffled; the others are shuffled, and none of them fills a task.
+    """
+    hot = F.col(copies) > total // HOT_KEYS
+    often, seldom = F.broadcast(keyed.where(hot)), keyed.where(~hot)
+    return rows.join(often, on).unionByName(rows.join(often.select(*on), on, "left_anti").join(seldom.hint("merge"), on))
