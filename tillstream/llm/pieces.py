@@ -12,7 +12,7 @@ score so that the leftmost is merged first, are merged directly.
 
 Text is taken whole. A null or empty text has no token but the end id, and decodes to an empty text.
 Characters that the vocabulary lacks become byte tokens. Columns of the table that are named like a
-result are replaced.
+result are replaced. Repeated rows are encoded each; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,8 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Stretches that a worker remembers, in each of two generations.
-REMEMBERED = 200_000
+#: Bytes of stretches that a worker remembers, in each of two generations, and pairs of tokens.
+REMEMBERED_BYTES = 24 << 20
+REMEMBERED_PAIRS = 100_000
+#: What a remembered stretch takes besides its word and ids.
+ENTRY_BYTES = 200
 #: A stretch longer than this is not remembered.
 LONGEST = 64
 #: Characters of text whose ids are built before a batch goes out.
@@ -69,6 +72,7 @@ class Encoder:
     vocabulary: Vocabulary
     met: dict[str, bytes] = field(default_factory=dict)
     older: dict[str, bytes] = field(default_factory=dict)
+    held: int = 0
 
     def __post_init__(self) -> None:
         import ahocorasick
@@ -123,7 +127,7 @@ class Encoder:
 
     def stay(self, left: str, right: str) -> bool:
         """Whether two tokens stay as they are when their text is merged alone."""
-        if self.pairs > REMEMBERED:
+        if self.pairs > REMEMBERED_PAIRS:
             self.fits.clear()
             self.pairs = 0
         self.pairs += 1
@@ -179,9 +183,10 @@ class Encoder:
             if (known := self.older.get(word)) is None:
                 known = self.as_ids(self.by_prefixes(MARK + word)).tobytes()
             if len(word) <= LONGEST:
-                if len(self.met) > REMEMBERED:  # what is not met again is forgotten with the older ones
-                    self.older, self.met = self.met, {}
+                if self.held > REMEMBERED_BYTES:  # what is not met again is forgotten with the older ones
+                    self.older, self.met, self.held = self.met, {}, 0
                 self.met[word] = known
+                self.held += ENTRY_BYTES + 2 * len(word) + len(known)
         return known
 
     def packed(self, text: str | None) -> bytes:
@@ -218,6 +223,11 @@ class Encoder:
             parts.append(self.as_ids(self.run(marks)).tobytes())
         return b"".join(parts)
 
+    def forget(self) -> None:
+        """A task's end: a worker may serve other stages next."""
+        self.met, self.older, self.held = {}, {}, 0
+        self.fits, self.pairs, self.runs = {}, 0, {}
+
     def encode(self, text: str | None) -> list[int]:
         """The ids of a text and the end id."""
         return array("i", self.packed(text)).tolist()
@@ -306,27 +316,54 @@ def _schema(table: DataFrame, column: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*(f for f in table.schema if f.name.lower() != column.lower()), T.StructField(column, kind)])
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
-    """The table with the ids of each text, an end id last."""
+def _id_lists(encoder: Encoder, texts: list[str | None]) -> pa.ListArray:
+    found = list(map(encoder.packed, texts))
+    at = array("i", accumulate((len(f) // 4 for f in found), initial=0))
+    flat = b"".join(found)
+    return pa.ListArray.from_arrays(
+        pa.Array.from_buffers(pa.int32(), len(at), [None, pa.py_buffer(at)]),
+        pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]),
+    )
+
+
+def _texts(decoder: Decoder, ids: pa.ListArray) -> pa.Array:
+    flat, at = ids.values.to_numpy(), ids.offsets.to_numpy()
+    return pa.array([decoder.decode(flat[a:b].tolist()) for a, b in zip(at, at[1:])], pa.string())
+
+
+def _encoding(docs: DataFrame, vocabulary: Vocabulary, text_column: str, ids_column: str, decoded: str | None) -> DataFrame:
     import pyarrow.compute as pc
 
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches):
-        encoder = _encoder(sent.value)
-        for batch in batches:
-            for part in _slices(batch, pc.utf8_length(batch.column(text_column)), BATCH_CHARS):
-                found = list(map(encoder.packed, part.column(text_column).to_pylist()))
-                at = array("i", accumulate((len(f) // 4 for f in found), initial=0))
-                flat = b"".join(found)
-                ids = pa.ListArray.from_arrays(
-                    pa.Array.from_buffers(pa.int32(), len(at), [None, pa.py_buffer(at)]),
-                    pa.Array.from_buffers(pa.int32(), len(flat) // 4, [None, pa.py_buffer(flat)]),
-                )
-                yield _replaced(part, ids_column, ids)
-        encoder.older = {}  # a worker may serve other stages next
+        encoder, decoder = _encoder(sent.value), Decoder(sent.value) if decoded else None
+        try:
+            for batch in batches:
+                for part in _slices(batch, pc.utf8_length(batch.column(text_column)), BATCH_CHARS):
+                    ids = _id_lists(encoder, part.column(text_column).to_pylist())
+                    if decoded:
+                        part = _replaced(part, decoded, _texts(decoder, ids))
+                    yield _replaced(part, ids_column, ids)
+        finally:
+            encoder.forget()
+
+    fields = [f for f in docs.schema if f.name.lower() not in (ids_column.lower(), (decoded or ids_column).lower())]
+    if decoded:
+        fields.append(T.StructField(decoded, T.StringType()))
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(ids_column, T.ArrayType(T.IntegerType()))]))
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", ids_column: str = "ids") -> DataFrame:
+    """The table with the ids of each text, an end id last."""
+    return _encoding(docs, vocabulary, text_column, ids_column, None)
+
 
-    return docs.mapInArrow(run, _schema(docs, ids_column, T.ArrayType(T.IntegerType())))
+def encode_and_decode(
+    docs: DataFrame, vocabulary: Vocabulary, text_column: str = "text", ids_column: str = "ids", decoded_column: str = "decoded",
+) -> DataFrame:
+    """The table with the ids of each text and the text that they decode to, in one step, so one worker for each core."""
+    return _encoding(docs, vocabulary, text_column, ids_column, decoded_column)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids", text_column: str = "decoded") -> DataFrame:
@@ -340,9 +377,6 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids",
         for batch in batches:
             for part in _slices(batch, pc.list_value_length(batch.column(ids_column)), BATCH_CHARS // 2):
                 column = part.column(ids_column)
-                flat = column.values.to_numpy()
-                at = column.offsets.to_numpy()
-                texts = [decoder.decode(flat[a:b].tolist()) for a, b in zip(at, at[1:])]
-                yield _replaced(part, text_column, pa.array(texts, pa.string()))
+                yield _replaced(part, text_column, _texts(decoder, column))
 
     return encoded.mapInArrow(run, _schema(encoded, text_column, T.StringType()))

@@ -96,10 +96,9 @@ def op9_language_id(spark, sf_dir):
 
 
 def op10_sentencepiece(spark, sf_dir):
-    docs, words = table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary()
-    encoded = pieces.encode(docs, words).select("doc_id", "ids")
-    decoded = pieces.decode(encoded, words)
-    return decoded.select(
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pieces.encode_and_decode(docs, vocabulary())
+    return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         digest(F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")).alias("ids_sha256"),
         digest(F.col("decoded")).alias("decoded_sha256"),
