@@ -40,9 +40,8 @@ def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and a digest of what they decode to."""
     in_small_batches(spark)
-    words = vocabulary()
-    decoded = pieces.decode(pieces.encode(docs.select("doc_id", "lang", "source", "text"), words), words)
-    return decoded.select(
+    found = pieces.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), vocabulary())
+    return found.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
         digest(F.col("decoded")).alias("decoded_sha256"),
     )
