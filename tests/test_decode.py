@@ -30,6 +30,11 @@ def decoded(spark, text, record=SALE, **options):
     ('{"productPrice": "cheap"}', "bad_product_price"),
     ('{"productPrice": true}', "bad_product_price"),
     ('{"productQuantity": 3000000000}', "bad_product_quantity"),
+    ('{"productQuantity": "2.7"}', "bad_product_quantity"),
+    ('{"productQuantity": false}', "bad_product_quantity"),
+    ('{"productPrice": {"a": 1}}', "bad_product_price"),
+    ('{"productPrice": 1, "productPrice": 2}', "malformed"),
+    ('{"transactionId": {"a": 1}}', None),
     ('{"transactionDate": "yesterday"}', "bad_transaction_date"),
     ('{"transactionDate": "2024-01-01 10:00:00"}', "bad_transaction_date"),
     ("{}", None),
@@ -83,6 +88,18 @@ def test_text_fields_take_scalars_and_bytes_are_text(spark):
     assert (row.transaction_id, row.customer_id, row.decode_error) == ("12", "true", None)
 
 
+def test_one_parse(spark):
+    """Values and the names of the fields come from one parse of the text, also below filters."""
+    df = decode(spark.createDataFrame([("{}",)], "value string"), SALE).where("decode_error is null and product_price > 0")
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") == 1 and "json_object_keys" not in text
+
+
+def test_text_fields_hold_json(spark):
+    row = decoded(spark, '{"transactionId": {"a": [1, 2]}, "customerId": 2.50, "productId": "2.50"}')
+    assert (row["transaction_id"], row["customer_id"], row["product_id"]) == ('{"a":[1,2]}', "2.5", "2.50")
+
+
 def test_other_columns_pass_through(spark):
     df = spark.createDataFrame([("{}", 7)], "value string, offset int")
     assert decode(df, RATE).columns == ["offset", *RATE.columns, "decode_error"]

@@ -1,4 +1,4 @@
-"""Order of arrival as one comparable value."""
+"""Order of arrival as one comparable value, and values that are computed once."""
 
 from __future__ import annotations
 
@@ -16,3 +16,8 @@ def order_value(order: Sequence[str | Column]) -> Column:
     """One column as it is, several as a struct. Spark aggregates by a plain number without sorting."""
     columns = order_columns(order)
     return columns[0] if len(columns) == 1 else F.struct(*columns)
+
+
+def once(value: Column) -> Column:
+    """A column that is computed once for each row, however often it is used or filtered by above."""
+    return F.explode(F.array(value))

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 WIRE_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 SEED_TIME = "yyyy-MM-dd HH:mm:ss"
 
-INT_MIN, INT_MAX = -(2**31), 2**31 - 1
-
 
 def wire_time(ts: Column) -> Column:
     return F.date_format(ts, WIRE_TIME)
@@ -24,20 +22,19 @@ def stripped(text: Column) -> Column:
     return F.trim(text, F.lit(" \t\r\n"))
 
 
-def _blank(text: Column) -> Column:
+def blank(text: Column) -> Column:
     return F.coalesce(stripped(text) == "", F.lit(True))
 
 
 def read_double(text: Column) -> Column:
     """Number or numeric text; absent or blank is 0; anything else is null."""
-    return F.coalesce(text.try_cast("double"), F.when(_blank(text), F.lit(0.0)))
+    return F.coalesce(text.try_cast("double"), F.when(blank(text), F.lit(0.0)))
 
 
-def read_int(text: Column) -> Column:
-    """As `read_double`, dropping the fraction; null outside 32 bits."""
-    number = read_double(text)
+def read_int(text: Column, number: Column) -> Column:
+    """An integer or text of one; absent or blank is 0; null outside 32 bits. `number` is asked where there is a fraction."""
     return F.coalesce(
-        text.try_cast("int"), F.when(number.between(INT_MIN, INT_MAX), number.try_cast("int"))
+        text.try_cast("int"), F.when(blank(text), 0), F.when(text.try_cast("double").isNotNull(), number)
     )
 
 
@@ -54,4 +51,4 @@ def read_time(text: Column) -> Column:
 
 def unreadable(text: Column, value: Column) -> Column:
     """True when text was given but gave no value."""
-    return value.isNull() & ~_blank(text)
+    return value.isNull() & ~blank(text)

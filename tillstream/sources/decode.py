@@ -1,8 +1,12 @@
 """Typed decoding of JSON messages.
 
 Numbers that are absent or null become 0, other absent fields null. Numeric text is accepted, and
-a fraction is dropped where an integer is due. The JSON literal `null` is no record and is skipped.
-Whatever cannot be decoded keeps its row, with the reason in `decode_error`.
+a number's fraction is dropped where an integer is due; text that holds a fraction is no integer. The JSON literal `null` is no
+record and is skipped. Whatever cannot be decoded keeps its row, with the reason in `decode_error`. A message that gives a field
+twice is malformed.
+
+A message is parsed once, to a map from its field names to their texts. Only where an integer field has a fraction is its VARIANT
+asked, which knows a number from a text.
 """
 
 from __future__ import annotations
@@ -12,39 +16,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstream.functions import wire
+from tillstream.functions.order import once
 from tillstream.schemas import Field, Record
 
 DECODE_ERROR = "decode_error"
-_CORRUPT = "_corrupt"
+_FIELDS = T.MapType(T.StringType(), T.StringType())
 # Strict JSON; a message that is none keeps its row.
-_PARSER = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": _CORRUPT,
-    "allowSingleQuotes": "false",
-    "allowNonNumericNumbers": "false",
-}
-_READERS = {"double": wire.read_double, "int": wire.read_int, "timestamp": wire.read_time}
+_PARSER = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def _given(field: Field) -> str:
     return f"_{field.column}"
 
 
-def _text_of(field: Field, given: Column) -> Column:
-    return F.trim(given) if field.type == "timestamp" else given
+def _text(field: Field) -> Column:
+    """The value as text; null if it is absent or null."""
+    text = F.when(~F.col("_malformed"), F.col("_fields")[field.wire])
+    return F.trim(text) if field.type == "timestamp" else text
 
 
 def _typed(field: Field) -> Column:
     given = F.col(_given(field))
-    if field.type not in _READERS:
+    if field.type == "double":
+        value = wire.read_double(given)
+    elif field.type == "int":
+        value = wire.read_int(given, F.try_variant_get(F.try_parse_json("_text"), f"$.{field.wire}", "int"))
+    elif field.type == "timestamp":
+        value = wire.read_time(given)
+    else:
         return given
-    return F.when(~F.col("_malformed"), _READERS[field.type](given))
-
-
-def wire_schema(record: Record) -> T.StructType:
-    """All fields as text: coercion follows our rules, not the parser's."""
-    names = [f.wire for f in record.fields] + [_CORRUPT]
-    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return F.when(~F.col("_malformed"), value)
 
 
 def decode(
@@ -52,37 +53,33 @@ def decode(
 ) -> DataFrame:
     """Replace the message text by the record's columns; other columns pass through.
 
-    `unknown_fields="ignore"` drops fields that the record does not have instead of rejecting the
-    message, and saves listing each message's field names.
+    `unknown_fields="ignore"` drops fields that the record does not have instead of rejecting the message.
     """
     if unknown_fields not in ("reject", "ignore"):
         raise ValueError(f"unknown_fields: {unknown_fields!r}")
-    text = F.col(value).cast("string")
     others = [c for c in messages.columns if c != value]
-    # One step each for the parse, the typed values and the errors, so that none is computed twice.
+    # One step each for the parse, the texts, the typed values and the errors, so that none is computed twice.
     parsed = (
-        messages.withColumn("_text", text)
+        messages.withColumn("_text", F.col(value).cast("string"))
         .where(F.col("_text").isNull() | (wire.stripped(F.col("_text")) != "null"))
-        .withColumn("_wire", F.from_json("_text", wire_schema(record), _PARSER))
+        .withColumn("_fields", F.from_json("_text", _FIELDS, _PARSER))
     )
-    wired = F.col("_wire")
-    malformed = wired.isNull() | wired[_CORRUPT].isNotNull()
-    fields = parsed.select(
-        *others,
-        "_text",
-        malformed.alias("_malformed"),
-        *[F.when(~malformed, _text_of(f, wired[f.wire])).alias(_given(f)) for f in record.fields],
+    names = F.map_keys("_fields")
+    malformed = F.col("_fields").isNull() | (F.size(F.array_distinct(names)) < F.size(names))
+    fields = parsed.withColumn("_malformed", malformed).select(
+        *others, "_text", "_fields", "_malformed", *[_text(f).alias(_given(f)) for f in record.fields]
     )
     typed = fields.withColumns({f.column: _typed(f) for f in record.fields})
 
     errors = [F.when(F.col("_malformed"), F.lit("malformed"))]
     if unknown_fields == "reject":
         known = F.array(*[F.lit(f.wire) for f in record.fields])
-        extra = F.size(F.array_except(F.json_object_keys("_text"), known)) > 0
-        errors.append(F.when(extra, F.lit("unknown_field")))
+        errors.append(F.when(F.size(F.array_except(names, known)) > 0, F.lit("unknown_field")))
     errors += [
         F.when(wire.unreadable(F.col(_given(f)), F.col(f.column)), F.lit(f"bad_{f.column}"))
         for f in record.fields
-        if f.type in _READERS
+        if f.type != "string"
     ]
-    return typed.select(*others, *record.columns, F.coalesce(*errors).alias(DECODE_ERROR))
+    row = F.struct(*record.columns, F.coalesce(*errors).alias(DECODE_ERROR))
+    # Filters on the fields stay above, where the row is there; moved below they would decode it again for each use of a field.
+    return typed.select(*others, once(row).alias("_row")).select(*others, "_row.*")

@@ -1,7 +1,8 @@
 """Topics of JSON messages: from a broker, or from folders of recorded messages.
 
-Both give `value` and `arrival`. A broker orders messages within a partition only, so the total
-order of arrival is (broker time, partition, offset).
+Both give `value` and `arrival`. A broker orders messages within a partition only. Messages with one key, such as
+sales, are in one partition and so in the order of (partition, offset). Messages without, such as rate updates, are in any, and
+their order across partitions is that of (broker time, partition, offset).
 """
 
 from __future__ import annotations
