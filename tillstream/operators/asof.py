@@ -1,16 +1,23 @@
 """Convert sales by the rate that was valid at the time of sale.
 
-Time is cut into slots, finer on days when a currency's rate changes often. A lookup table lists,
-for every currency and slot, the rates in force and their spans: the rate carried into the slot,
-then each change inside it. A sale meets the rates of its own currency and slot only, by an equality
-join with a span test, so sales are never sorted and are shuffled only if the lookup outgrows a
-broadcast.
+A table of validity intervals lists, for every currency and day between its first and its last change, which rate held from when to
+when; the last rate of a currency is open and holds from its change on. A sale meets the intervals of its own currency and day
+by an equality join with a span test, and its currency's open rate. Days on which a rate changes very often are cut into blocks of
+consecutive intervals, and a list of the blocks' starts gives a sale its block, so a sale meets about the square root of
+the day's changes. Sales are read once, and are neither sorted nor shuffled while the intervals they need fit a broadcast.
+
+The table can be extended: a set of updates changes the rows of its currencies from the last rate before the first of them
+on, and no others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillstream.functions.codes import BASE_CURRENCY
 from tillstream.functions.order import order_value
@@ -20,132 +27,160 @@ from tillstream.operators.enrich import (
     small_or_shuffled,
     with_converted_amount,
 )
+from tillstream.schemas import ARRIVAL
 from tillstream.session import settled
 
-MILLI, SECOND = 1_000, 1_000_000
-MINUTE = 60 * SECOND
-HOUR = 60 * MINUTE
-DAY = 24 * HOUR
-# A sale is tested against each change of its slot, so slots with few changes are wanted. At the
-# finest width a slot has no room for more than 1000 distinct microseconds.
-SLOT_WIDTHS = (
-    DAY, HOUR, 10 * MINUTE, MINUTE, 10 * SECOND, SECOND, 100 * MILLI, 10 * MILLI, MILLI,
-)
-CHANGES_PER_SLOT = 64
+DAY = 24 * 60 * 60 * 1_000_000
+#: Intervals that a block of a day has at least.
+BLOCK_ROWS = 64
+#: The row of a day that lists where its blocks begin, after the first.
+STARTS = -1
+
+OPEN = T.StructType([
+    T.StructField("code", T.StringType()), T.StructField("since", T.LongType()), T.StructField("rate", T.DoubleType()),
+    T.StructField("arrival", ARRIVAL),
+])
+INTERVALS = T.StructType([
+    T.StructField("code", T.StringType()), T.StructField("day", T.LongType()), T.StructField("block", T.IntegerType()),
+    T.StructField("since", T.LongType()), T.StructField("until", T.LongType()), T.StructField("rate", T.DoubleType()),
+    T.StructField("carried", T.BooleanType()), T.StructField("arrival", ARRIVAL),
+    T.StructField("starts", T.ArrayType(T.LongType())),
+])
 
 
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def slot_of(at: Column, width: Column | int) -> Column:
-    """Start of the slot, in microseconds."""
-    return at - F.pmod(at, width if isinstance(width, Column) else F.lit(width))
+def day_start(at: Column) -> Column:
+    """The day of a time, both in microseconds."""
+    return at - F.pmod(at, F.lit(DAY))
 
 
-def rate_changes(rates: DataFrame, base: str, arrival: list[str]) -> DataFrame:
-    """One rate per currency and instant; of several at one instant the last arrival counts."""
+def rate_changes(rates: DataFrame, base: str, arrival: Sequence[str]) -> DataFrame:
+    """(code, since, rate, arrival): one rate per currency and instant; of several at one instant the last arrival counts."""
     return (
         known_codes(rates, base)
         .select(
-            F.col("from_currency").alias("_code"),
-            micros(F.col("last_updated")).alias("_from"),
-            F.col("exchange_rate").cast("double").alias("_rate"),
-            order_value(arrival).alias("_arrival"),
+            F.col("from_currency").alias("code"), micros(F.col("last_updated")).alias("since"),
+            F.col("exchange_rate").cast("double").alias("rate"), order_value(arrival).alias("arrival"),
         )
-        .where(F.col("_from").isNotNull())
-        .groupBy("_code", "_from")
-        .agg(F.max_by("_rate", "_arrival").alias("_rate"))
+        .where(F.col("since").isNotNull() & F.col("rate").isNotNull())
+        .groupBy("code", "since")
+        .agg(F.max_by("rate", "arrival").alias("rate"), F.max("arrival").alias("arrival"))
     )
 
 
-def busy_days(changes: DataFrame, most: int = CHANGES_PER_SLOT) -> DataFrame:
-    """Slot width of each currency and day on which a whole day is too wide.
+def _with_ends(points: DataFrame) -> DataFrame:
+    """Points in time with the next one of their currency as `until`, null for the last.
 
-    It is the widest in which no slot of the day has more than `most` changes, or else the finest.
+    The next point of a day's last one is looked up among the days' first ones, so no window holds more than a day's points,
+    or a currency's days.
     """
-    widths = F.array(*[F.lit(w).cast("bigint") for w in SLOT_WIDTHS])
-    crowd = (
-        changes.select("_code", "_from", F.explode(widths).alias("_width"))
-        .groupBy("_code", "_width", slot_of(F.col("_from"), F.col("_width")).alias("_slot"))
-        .count()
-        .groupBy("_code", slot_of(F.col("_slot"), DAY).alias("_day"), "_width")
-        .agg(F.max("count").alias("_most"))
+    points = points.withColumn("day", day_start(F.col("since")))
+    in_day = Window.partitionBy("code", "day").orderBy("since")
+    days = points.groupBy("code", "day").agg(F.min("since").alias("first"))
+    following = days.select("code", "day", F.lead("first").over(Window.partitionBy("code").orderBy("day")).alias("next"))
+    inside = points.withColumn("until", F.lead("since").over(in_day))
+    return inside.join(following, ["code", "day"]).withColumn("until", F.coalesce("until", "next")).drop("next")
+
+
+def _cut_at_days(spans: DataFrame) -> DataFrame:
+    """Closed spans as one row for each day they reach into."""
+    days = F.sequence(F.col("day"), day_start(F.col("until") - 1), F.lit(DAY))
+    pieces = spans.where(F.col("until").isNotNull()).withColumn("at", F.explode(days))
+    return pieces.select(
+        "code", F.col("at").alias("day"), F.greatest("since", "at").alias("since"),
+        F.least(F.col("until"), F.col("at") + DAY).alias("until"), "rate",
+        (F.col("carried") | (F.col("at") > F.col("day"))).alias("carried"), "arrival",
     )
-    fitting = (F.col("_most") <= most) | (F.col("_width") == SLOT_WIDTHS[-1])
-    return (
-        crowd.where(fitting)
-        .groupBy("_code", "_day")
-        .agg(F.max("_width").alias("_width"))
-        .where(F.col("_width") < DAY)
+
+
+def _in_blocks(pieces: DataFrame, block_rows: int) -> DataFrame:
+    """Number the blocks of each day, and add the list of where they begin to days that have several."""
+    day = Window.partitionBy("code", "day")
+    size = F.greatest(F.lit(block_rows), F.ceil(F.sqrt(F.count("*").over(day))).cast("int"))
+    nth = F.row_number().over(day.orderBy("since")) - 1
+    rows = pieces.withColumns({"size": size, "nth": nth})
+    rows = rows.withColumn("block", F.floor(F.col("nth") / F.col("size")).cast("int"))
+    starts = (
+        rows.where((F.col("block") > 0) & (F.col("nth") % F.col("size") == 0)).groupBy("code", "day")
+        .agg(F.sort_array(F.collect_list("since")).alias("starts")).withColumn("block", F.lit(STARTS))
     )
+    return rows.drop("size", "nth").unionByName(starts, allowMissingColumns=True)
 
 
-def with_slots(rows: DataFrame, code: Column, at: Column, widths: DataFrame) -> DataFrame:
-    """Add the currency `_code`, the time `_at` in microseconds, and the slot from `_slot` to `_end`."""
-    placed = rows.withColumns({"_code": code, "_at": at})
-    placed = placed.withColumn("_day", slot_of(F.col("_at"), DAY)).join(widths, ["_code", "_day"], "left")
-    width = F.coalesce("_width", F.lit(DAY))
-    placed = placed.withColumn("_slot", slot_of(F.col("_at"), width))
-    return placed.withColumn("_end", F.col("_slot") + width).drop("_day", "_width")
+def intervals_of(points: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Closed intervals by day, and open rates, of points (code, since, rate, arrival, carried)."""
+    spans = _with_ends(points)
+    last = spans.where(F.col("until").isNull()).select("code", "since", "rate", "arrival")
+    return _in_blocks(_cut_at_days(spans), block_rows), last
 
 
-def carried_in(slots: DataFrame) -> DataFrame:
-    """Add to each slot the last rate of any earlier slot, as `_rate`.
+def extended(
+    stored: DataFrame, last: DataFrame, changes: DataFrame, begin: int, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """The stored intervals from the time `begin` on and the open rates, both after a set of changes.
 
-    Rates are carried from day to day first and then within each day, so that no window is longer
-    than the days of a currency or the slots of a day.
+    `begin` is the start of a day, and no later than the last open rate and the first change of any currency in question. Rows of other
+    currencies stay as they are.
     """
-    whole_slots = slots.select("*", slot_of(F.col("_slot"), DAY).alias("_day"), F.lit(1).alias("_step"))
-    last_change = F.when(F.col("_closing").isNotNull(), F.col("_slot"))
-    days = whole_slots.groupBy("_code", "_day").agg(F.max_by("_closing", last_change).alias("_closing"))
-
-    def earlier(group: list[str], order: list[str]) -> Column:
-        before = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.last("_closing", ignorenulls=True).over(before)
-
-    day_starts = days.select(
-        "_code",
-        F.col("_day").alias("_slot"),
-        F.lit(None).cast("bigint").alias("_end"),
-        F.lit(False).alias("_sold"),
-        earlier(["_code"], ["_day"]).alias("_closing"),
-        "_day",
-        F.lit(0).alias("_step"),
+    codes = F.broadcast(changes.select("code").distinct())
+    # A rate carried into the first day stands for the change it comes from.
+    known = stored.join(codes, "code", "left_semi").where(
+        (F.col("block") >= 0) & (~F.col("carried") | (F.col("since") == begin))
+    ).select("code", "since", "rate", "arrival", "carried")
+    mine = last.join(codes, "code", "left_semi")
+    fresh = mine.unionByName(changes.select(*mine.columns)).withColumn("carried", F.lit(False))
+    points = known.unionByName(fresh).groupBy("code", "since").agg(
+        *[F.max_by(c, F.struct(~F.col("carried"), F.col("arrival"))).alias(c) for c in ("rate", "arrival", "carried")]
+    )
+    closed, opened = intervals_of(points, block_rows)
+    names = stored.columns
+    return (
+        stored.join(codes, "code", "left_anti").unionByName(closed.select(*names)),
+        last.join(codes, "code", "left_anti").unionByName(opened.select(*last.columns)),
     )
-    rate = earlier(["_code", "_day"], ["_slot", "_step"])
-    return whole_slots.unionByName(day_starts).withColumn("_rate", rate)
 
 
-def rate_spans(sold: DataFrame, changed: DataFrame) -> DataFrame:
-    """For each currency and slot with sales: the rates in force and the span of each.
+@dataclass
+class Intervals:
+    """A stored table of intervals: `closed` gives the rows of some months, `last` holds the open rates."""
 
-    `sold` and `changed` hold the slots of sales and of rate changes.
-    """
-    no_change = {"_from": F.lit(None).cast("bigint"), "_rate": F.lit(None).cast("double")}
-    slots = settled(
-        sold.select("_code", "_slot", "_end").withColumns({"_sold": F.lit(True), **no_change})
-        .unionByName(changed.select("_code", "_slot", "_end", F.lit(False).alias("_sold"), "_from", "_rate"))
-        .groupBy("_code", "_slot")
-        .agg(
-            F.max("_end").alias("_end"),
-            F.max("_sold").alias("_sold"),
-            F.max_by("_rate", "_from").alias("_closing"),
-        )
-    )
-    carried = (
-        carried_in(slots)
-        .where(F.col("_sold"))
-        .select("_code", "_slot", "_end", F.col("_slot").alias("_from"), "_rate", F.lit(0).alias("_step"))
+    closed: Callable[[Sequence[str]], DataFrame]
+    last: DataFrame
+
+    def lookups(self, months: Sequence[str], broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """What sales of some months are joined with, each side broadcast if its counted size allows it."""
+        return _lookups(self.closed(months), self.last, broadcast_rows)
+
+
+def _lookups(closed: DataFrame, last: DataFrame, broadcast_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    rows = closed.where(F.col("block") >= 0).select("code", "day", "block", "since", "until", "rate")
+    starts = closed.where(F.col("block") == STARTS).select("code", "day", "starts")
+    return tuple(small_or_shuffled(t, broadcast_rows) for t in (rows, starts, last.select("code", "since", "rate")))
+
+
+def convert_in_intervals(
+    sales: DataFrame, closed: DataFrame, starts: DataFrame, last: DataFrame, at: str = "transaction_date"
+) -> DataFrame:
+    """Each sale once, its amount times the last rate at or before its own time (else 1)."""
+    placed = sales.withColumns({"_at": micros(F.col(at)), "_day": day_start(micros(F.col(at)))})
+    starts = starts.select(F.col("code").alias("_start_code"), F.col("day").alias("_start_day"), "starts")
+    placed = placed.join(starts, (F.col("currency") == F.col("_start_code")) & (F.col("_day") == F.col("_start_day")), "left")
+    passed = F.size(F.filter("starts", lambda start: start <= F.col("_at")))
+    placed = placed.withColumn("_block", F.when(F.col("starts").isNull(), 0).otherwise(passed))
+    closed = closed.select(*[F.col(c).alias(f"_in_{c}") for c in ("code", "day", "block", "since", "until", "rate")])
+    in_force = (
+        (F.col("currency") == F.col("_in_code")) & (F.col("_day") == F.col("_in_day")) & (F.col("_block") == F.col("_in_block"))
+        & (F.col("_in_since") <= F.col("_at")) & (F.col("_at") < F.col("_in_until"))
     )
-    inside = changed.select("_code", "_slot", "_end", "_from", "_rate", F.lit(1).alias("_step"))
-    order = Window.partitionBy("_code", "_slot").orderBy("_from", "_step")
-    return (
-        carried.unionByName(inside)
-        .withColumn("_until", F.coalesce(F.lead("_from").over(order), "_end"))
-        .where(F.col("_rate").isNotNull())
-        .select("_code", "_slot", "_from", "_until", "_rate")
+    last = last.select(*[F.col(c).alias(f"_last_{c}") for c in ("code", "since", "rate")])
+    joined = placed.join(closed, in_force, "left").join(
+        last, (F.col("currency") == F.col("_last_code")) & (F.col("_last_since") <= F.col("_at")), "left"
     )
+    rate = F.coalesce("_last_rate", "_in_rate").alias("_rate")
+    return with_converted_amount(joined.select(*sales.columns, rate)).drop("_rate")
 
 
 def convert_as_of(
@@ -153,23 +188,11 @@ def convert_as_of(
     rates: DataFrame,
     base: str = BASE_CURRENCY,
     at: str = "transaction_date",
-    arrival: tuple[str, ...] = ("arrival_seq",),
+    arrival: Sequence[str] = ("arrival_seq",),
     broadcast_rows: int = BROADCAST_ROWS,
-    changes_per_slot: int = CHANGES_PER_SLOT,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Each sale once, its amount times the last rate at or before its own time (else 1)."""
-    changes = settled(rate_changes(rates, base, list(arrival)))
-    widths = small_or_shuffled(settled(busy_days(changes, changes_per_slot)), broadcast_rows)
-    placed = with_slots(sales, F.col("currency"), micros(F.col(at)), widths)
-    changed = with_slots(changes, F.col("_code"), F.col("_from"), widths)
-    sold = placed.where(F.col("_code").isNotNull() & F.col("_at").isNotNull())
-    lookup = small_or_shuffled(settled(rate_spans(sold, changed)), broadcast_rows)
-    lookup = lookup.withColumnsRenamed({"_code": "_rate_code", "_slot": "_rate_slot"})
-    in_force = (
-        (F.col("_code") == F.col("_rate_code"))
-        & (F.col("_slot") == F.col("_rate_slot"))
-        & (F.col("_from") <= F.col("_at"))
-        & (F.col("_at") < F.col("_until"))
-    )
-    joined = placed.join(lookup, in_force, "left").select(*sales.columns, "_rate")
-    return with_converted_amount(joined).drop("_rate")
+    """As `convert_in_intervals`, from a plain table of updates."""
+    changes = rate_changes(rates, base, arrival).withColumn("carried", F.lit(False))
+    closed, last = intervals_of(changes, block_rows)
+    return convert_in_intervals(sales, *_lookups(settled(closed.drop("arrival")), settled(last.drop("arrival")), broadcast_rows), at=at)
