@@ -31,6 +31,10 @@ def arguments(args: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--once", action="store_true", help="process what is there, rates first, and stop")
     parser.add_argument("--publish", action="store_true", help="also upsert the tables into the database")
     parser.add_argument("--processing-date", action="store_true", help="file totals under the day of the run too")
+    parser.add_argument("--as-of", action="store_true", help="convert each sale at the rate of its own time, not the latest")
+    parser.add_argument("--unique-totals", action="store_true", help="also keep daily totals in which an id counts once")
+    parser.add_argument("--compact-every", type=int, default=100, help="batches after which the log is folded and cleaned; 0 for never")
+    parser.add_argument("--redelivery-window", help="count a message once that comes again within this time, such as '1 hour'")
     return parser.parse_args(args)
 
 
@@ -48,10 +52,11 @@ def run(spark: SparkSession, options: argparse.Namespace) -> tuple[RatesJob, Sal
     settings = Settings.from_file(options.settings) if options.settings else Settings()
     publish = publisher(settings) if options.publish else None
     trigger = {"availableNow": True} if options.once else settings.trigger
-    rates = RatesJob(spark, f"{options.root}/rates", publish=publish)
+    rates = RatesJob(spark, f"{options.root}/rates", publish=publish, keep_intervals=options.as_of)
     sales = SalesJob(
-        spark, f"{options.root}/sales", rates.table, publish=publish,
-        processing_date=F.current_date if options.processing_date else None,
+        spark, f"{options.root}/sales", rates.intervals if options.as_of else rates.table, publish=publish, as_of=options.as_of,
+        processing_date=F.current_date if options.processing_date else None, unique_totals=options.unique_totals,
+        compact_every=options.compact_every or None, redelivery_window=options.redelivery_window,
     )
     jobs = (
         (rates, topic(spark, settings, RATES_TOPIC, options.rates_folder, options)),

@@ -6,11 +6,13 @@ a good row. Accepted rows and quarantine are filters on that column, so one pass
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstream.functions.money import fits_money, stored_rate
-from tillstream.schemas import RATE, SALE
+from tillstream.schemas import RATE, SALE, Record
 
 VIOLATIONS = "violations"
 Rule = tuple[str, Column]
@@ -39,23 +41,45 @@ def with_violations(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.withColumn(VIOLATIONS, F.concat_ws(",", *found))
 
 
-def check_rates(rates: DataFrame, as_of: Column | None = None) -> DataFrame:
+def rate_rules(rates: DataFrame, as_of: Column | None = None) -> list[Rule]:
     """Rates need both codes, a positive stored rate and a time that is not after `as_of`."""
     rules = absent(*RATE.key) + too_long(rates, RATE.text_limits())
     rules.append(("rate_not_positive", ~_holds(stored_rate(F.col("exchange_rate")) > 0)))
     rules += absent("last_updated")
     if as_of is not None:
         rules.append(("future_last_updated", F.col("last_updated") > as_of))
-    return with_violations(rates, rules)
+    return rules
 
 
-def check_sales(sales: DataFrame) -> DataFrame:
+def sale_rules(sales: DataFrame) -> list[Rule]:
     """Sales need an id, an event time and a category; text must fit, amounts must be summable."""
     rules = absent("transaction_id") + too_long(sales, SALE.text_limits())
     rules += absent("transaction_date", "product_category")
     amount = F.col("total_amount")
     rules.append(("amount_out_of_range", amount.isNotNull() & ~fits_money(amount)))
-    return with_violations(sales, rules)
+    return rules
+
+
+def check_rates(rates: DataFrame, as_of: Column | None = None) -> DataFrame:
+    return with_violations(rates, rate_rules(rates, as_of))
+
+
+def check_sales(sales: DataFrame) -> DataFrame:
+    return with_violations(sales, sale_rules(sales))
+
+
+def decode_errors(record: Record) -> list[str]:
+    """What decoding may find wrong with a message."""
+    return ["malformed", "unknown_field", *(f"bad_{f.column}" for f in record.fields if f.type != "string")]
+
+
+def rule_counts(rules: Sequence[str]) -> list[Column]:
+    """How many rows of a checked table are accepted, and how many break each rule; a row may break several."""
+    bad, broken = F.col(VIOLATIONS) != "", F.concat(F.lit(","), F.col(VIOLATIONS), F.lit(","))
+    return [
+        F.count("*").alias("rows"), F.count_if(~bad).alias("accepted"),
+        *(F.count_if(bad & broken.contains(f",{rule},")).alias(rule) for rule in rules),
+    ]
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -92,6 +92,41 @@ def running_totals(sums: DataFrame) -> DataFrame:
     )
 
 
+def month_of(day: Column) -> Column:
+    """The block of days that a day's sums are stored in, as a text."""
+    return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit("none"))
+
+
+def block_totals(sums: DataFrame) -> DataFrame:
+    """(block, category, amount): what each category sold in each block of days."""
+    return sums.groupBy(month_of(F.col("transaction_date")).alias("block"), "category").agg(
+        F.sum("amount").cast(sums.schema["amount"].dataType).alias("amount")
+    )
+
+
+def opening_balances(blocks: DataFrame) -> DataFrame:
+    """(block, category, opening): what a category had sold before each block."""
+    before = Window.partitionBy("category").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return blocks.select("block", "category", F.coalesce(F.sum("amount").over(before), F.lit(0)).alias("opening"))
+
+
+def running_totals_in_blocks(sums: DataFrame, blocks: DataFrame) -> DataFrame:
+    """As `running_totals`, for the days of `sums`: a balance per block and category, and sums inside blocks.
+
+    `blocks` holds the totals of all blocks, `sums` whole blocks only, all or some. No window is longer than a block's days,
+    or a category's blocks.
+    """
+    inside = (
+        Window.partitionBy("block", "category").orderBy("transaction_date")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    known = sums.where(F.col("category").isNotNull()).withColumn("block", month_of(F.col("transaction_date")))
+    return known.join(opening_balances(blocks), ["block", "category"], "left").select(
+        "transaction_date", "category",
+        (F.coalesce("opening", F.lit(0)) + F.sum("amount").over(inside)).cast("double").alias("total_sales"),
+    )
+
+
 def category_running(sales: DataFrame) -> DataFrame:
     return running_totals(daily_category_sums(sales))
 

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tillstream.functions.order import order_columns
 from tillstream.operators.enrich import is_small
-from tillstream.session import settled
 
 # Keys are text of at most 255 characters, so this many take less than a hundred megabytes.
 KEY_ROWS = 250_000
@@ -48,10 +47,13 @@ def upsert_few(
     order: Sequence[str],
     broadcast_rows: int = KEY_ROWS,
 ) -> DataFrame:
-    """As `upsert`, for a large table with few changes: rows whose key is untouched are not shuffled."""
+    """As `upsert`, for a large table with few changes: rows whose key is untouched are not shuffled.
+
+    The keys of the changes are read twice, so `changes` should be a stored table.
+    """
     if table is None:
         return last_by(changes, keys, order)
-    touched = settled(changes.select(*keys).distinct())
+    touched = changes.select(*keys).distinct()
     if not is_small(touched, broadcast_rows):
         return upsert(table, changes, keys, order)
     touched = F.broadcast(touched)

@@ -107,12 +107,13 @@ def rate_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_rate_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rate updates with missing and long codes, and rates that are zero or negative."""
+    """Rate updates with missing and long codes, missing times, and rates that are zero or negative."""
     seq = F.col("arrival_seq")
     return rate_updates(spark, sf_dir).withColumns({
         "from_currency": F.when(seq % 97 != 0, F.col("from_currency")),
         "to_currency": F.when(seq % 89 == 0, F.concat("to_currency", F.lit("X"))).otherwise(F.col("to_currency")),
         "exchange_rate": stored_rate(F.col("exchange_rate") - 2),
+        "last_updated": F.when(seq % 101 != 0, F.col("last_updated")),
     })
 
 

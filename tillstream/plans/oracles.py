@@ -41,7 +41,8 @@ VIEWS = {
     "dirty_updates": """
         select arrival_seq, case when arrival_seq % 97 <> 0 then from_currency end as from_currency,
           case when arrival_seq % 89 = 0 then to_currency || 'X' else to_currency end as to_currency,
-          cast(exchange_rate - 2 as decimal(18,6)) as exchange_rate, last_updated
+          cast(exchange_rate - 2 as decimal(18,6)) as exchange_rate,
+          case when arrival_seq % 101 <> 0 then last_updated end as last_updated
         from updates""",
     "checked_updates": """
         select *, concat_ws(',',
@@ -230,6 +231,55 @@ SQL = {
     "stream_day_total": over("converted_live", day_sums("converted_live")),
     "stream_windowed_day": over("converted_live", day_sums("converted_live")),
 }
+THIRD = """case when {at} >= timestamp '2024-01-21' then 2 when {at} >= timestamp '2024-01-11' then 1 else 0 end"""
+SALE_RULES = [
+    "missing_transaction_id", "long_customer_id", "missing_transaction_date", "missing_product_category",
+]
+RATE_RULES = [
+    "missing_from_currency", "long_to_currency", "rate_not_positive", "missing_last_updated",
+]
+
+
+def rule_counts(checked: str, rules: list[str]) -> str:
+    counts = {"rows": "true", "accepted": "violations = ''"} | {r: f"contains(',' || violations || ',', ',{r},')" for r in rules}
+    each = " union all ".join(f"select '{r}' as rule, count(*) as n from checked where {test}" for r, test in counts.items())
+    return f"with checked as ({checked}) select * from ({each}) where n > 0"
+
+
+# Of the first third every seventh sale comes last, when the watermark stands ten seconds behind the second third's newest sale.
+LATE = over("converted_live", f"""
+    , mark as (
+      select max(transaction_date) - interval 10 seconds as mark_time from live where {THIRD.format(at="transaction_date")} = 1
+    ), placed as (
+      select c.*, {THIRD.format(at="transaction_date")} = 0 and arrival_seq % 7 = 0
+        and date_trunc('day', transaction_date) + interval 1 day <= mark_time as late
+      from converted_live c, mark
+    )""")
+SQL["seed_when_filled"] = over("latest", "select * from latest where to_currency = 'USD'")
+SQL["stream_rates_refreshed"] = over("live updates", f"""
+    , known as (
+      select k as third, u.from_currency as code, u.exchange_rate as rate
+      from updates u, unnest([0, 1, 2]) as t(k)
+      where {THIRD.format(at="u.last_updated")} <= k and u.to_currency = 'USD' and u.exchange_rate > 0
+      qualify row_number() over (partition by k, u.from_currency order by u.arrival_seq desc) = 1
+    )
+    select transaction_id, cast(null as varchar) as product_id, cast(null as varchar) as product_name,
+      product_category, product_price, product_quantity, cast(null as varchar) as product_brand,
+      total_amount * coalesce(cast(rate as double), 1.0) as total_amount, currency, customer_id, transaction_date,
+      cast(null as varchar) as payment_method
+    from live left join known on currency = code and third = {THIRD.format(at="transaction_date")}""")
+SQL["stream_rates_lost"] = over("converted_live live", f"""
+    select l.transaction_id, case when {THIRD.format(at="l.transaction_date")} = 2 then l.total_amount else c.total_amount end as total_amount,
+      case when {THIRD.format(at="l.transaction_date")} = 2 then 'unavailable' else rate_status end as rate_status
+    from live l join converted_live c using (transaction_id)""")
+SQL["stream_redelivered"] = SQL["sales_per_day_live"]
+SQL["stream_sale_rule_counts"] = rule_counts(SQL["txn_quality_split"], SALE_RULES)
+SQL["stream_rate_rule_counts"] = rule_counts(SQL["rate_quality_split"], RATE_RULES)
+SQL["stream_category_total_rebuilt"] = SQL["stream_category_total"]
+SQL["stream_late_sales"] = f"{LATE} select transaction_id, total_amount, cast(3 as bigint) as batch_id, 'late' as violations from placed where late"
+SQL["stream_closed_days"] = f"{LATE} {day_sums('placed').replace('group by 1', 'where not late group by 1')}"
+SQL["stream_transactions_compacted"] = SQL["transactions_upsert"]
+SQL["stream_sales_per_day_unique"] = SQL["sales_per_day_unique"]
 SQL["stream_sales_per_day_asof"] = SQL["sales_per_day_asof"].replace(
     "where to_currency = 'USD'", "where to_currency = 'USD' and exchange_rate > 0"
 )

@@ -26,6 +26,30 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if it is not there."""
+    pattern, files = _file_system(spark, f"{path}/*")
+    return sorted(f.getPath().getName() for f in files.globStatus(pattern) or [])
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Keep a short text in a file of its own, in place of what is there."""
+    where, files = _file_system(spark, path)
+    out = files.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    where, files = _file_system(spark, path)
+    if not files.exists(where):
+        return None
+    reader = files.open(where)
+    text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(reader, "UTF-8")
+    reader.close()
+    return text
+
+
 def complete_numbers(spark: SparkSession, root: str, name: str) -> list[int]:
     """Numbers N of the folders `name=N` that were written to the end, in order."""
     pattern, files = _file_system(spark, f"{root}/{name}=*/_SUCCESS")
@@ -62,12 +86,21 @@ class Versions:
         """Drop a copy, if it is there."""
         delete_folder(self.spark, self.path(number))
 
+    def _times(self) -> dict[int, float]:
+        """When each copy was complete."""
+        where, files = _file_system(self.spark, f"{self.root}/version=*/_SUCCESS")
+        return {
+            int(found.getPath().getParent().getName().split("=")[1]): found.getModificationTime() / 1000
+            for found in files.globStatus(where) or []
+        }
+
+    def written(self, seconds: float) -> list[int]:
+        """Copies that were complete at least so long ago."""
+        return sorted(n for n, at in self._times().items() if at <= time.time() - seconds)
+
     def replaced(self, seconds: float) -> list[int]:
         """Copies that a newer one replaced at least so long ago: nobody has been given them since."""
-        times, before = {}, time.time() - seconds
-        where, files = _file_system(self.spark, f"{self.root}/version=*/_SUCCESS")
-        for found in files.globStatus(where) or []:
-            times[int(found.getPath().getParent().getName().split("=")[1])] = found.getModificationTime() / 1000
+        times, before = self._times(), time.time() - seconds
         numbers = sorted(times)
         return [n for n, newer in zip(numbers, numbers[1:]) if times[newer] <= before]
 

@@ -7,15 +7,16 @@ of files and every output of a batch sees the same rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstream.operators.quality import VIOLATIONS, QualityError
-from tillstream.sinks.versions import complete_numbers, delete_folder
+from tillstream.operators.quality import VIOLATIONS, QualityError, rule_counts
+from tillstream.sinks.versions import complete_numbers, delete_folder, write_note
 
 ACCEPTED = "accepted"
 
@@ -48,20 +49,37 @@ class BatchLog:
     def path(self, batch_id: int) -> str:
         return f"{self.root}/batch_id={batch_id}"
 
-    def write(self, batch_id: int, checked: DataFrame, on_bad_row: str = "quarantine") -> None:
-        """Log a checked batch; `on_bad_row="fail"` then raises if it has a bad row.
+    def write(
+        self, batch_id: int, checked: DataFrame, on_bad_row: str = "quarantine", rules: Sequence[str] = (),
+        measures: Sequence[Column] = (),
+    ) -> dict:
+        """Log a checked batch and count, in the same pass, its rows and those that break each rule.
 
-        The text of a message is kept for bad rows only.
+        `on_bad_row="fail"` then raises if there is a bad row. The text of a message is kept for bad rows only.
+        `measures` are other aggregates to take in that pass; all are returned by name.
         """
         good = F.col(VIOLATIONS) == ""
         rows = checked.withColumn(ACCEPTED, good)
         if "message" in checked.columns:
             rows = rows.withColumn("message", F.when(~good, F.col("message")))
+        seen = Observation()
+        rows = rows.observe(seen, *rule_counts(rules), *measures)
         rows.write.mode("overwrite").partitionBy(ACCEPTED).parquet(self.path(batch_id))
-        if on_bad_row == "fail":
-            bad = self._read(batch_id).where(~F.col(ACCEPTED)).select(VIOLATIONS).head(1)
-            if bad:
-                raise QualityError(f"batch {batch_id}: row breaks {bad[0][0]}")
+        found = seen.get
+        counts = {name: found[name] for name in ("rows", "accepted", *rules)}
+        write_note(self.spark, f"{self.root}/counts/{batch_id}.json", json.dumps({"batch_id": batch_id} | counts))
+        if on_bad_row == "fail" and counts["rows"] > counts["accepted"]:
+            broken = [rule for rule in rules if counts[rule]]
+            raise QualityError(f"batch {batch_id}: row breaks {', '.join(broken) or 'a rule'}")
+        return found
+
+    def counts(self, rules: Sequence[str]) -> DataFrame:
+        """For each batch, its rows, those accepted, and those that break each rule."""
+        names = ["batch_id", "rows", "accepted", *rules]
+        schema = T.StructType([T.StructField(name, T.LongType()) for name in names])
+        if not self.numbers():
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).json(f"{self.root}/counts")
 
     def _read(self, batch_id: int) -> DataFrame:
         reader = self.spark.read.schema(self.schema).option("basePath", self.root)
@@ -77,20 +95,20 @@ class BatchLog:
     def numbers(self) -> list[int]:
         return complete_numbers(self.spark, self.root, "batch_id")
 
-    def _all(self) -> DataFrame:
-        if not self.numbers():
+    def _some(self, numbers: list[int]) -> DataFrame:
+        if not numbers:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.root)
+        reader = self.spark.read.schema(self.schema).option("basePath", self.root)
+        return reader.parquet(*[self.path(n) for n in numbers])
 
     def accepted_between(self, after: int | None, upto: int) -> DataFrame:
-        """The good rows of the batches in (after, upto]."""
-        number = F.col("batch_id")
-        rows = self._all().where(F.col(ACCEPTED) & (number <= upto))
-        return self._data(rows if after is None else rows.where(number > after))
+        """The good rows of the batches in (after, upto]; no other batch is looked at."""
+        numbers = list(range(0 if after is None else after + 1, upto + 1))
+        return self._data(self._some(numbers).where(F.col(ACCEPTED)))
 
     def rejected(self) -> DataFrame:
         """All rows set aside, with their reasons and message text."""
-        return self._all().where(~F.col(ACCEPTED)).drop(ACCEPTED)
+        return self._some(self.numbers()).where(~F.col(ACCEPTED)).drop(ACCEPTED)
 
     def drop_accepted(self, upto: int) -> None:
         """Delete the good rows of old batches; rows set aside stay."""
