@@ -8,17 +8,22 @@ document that a segment has too are counted by (segment, band of 2 * (e + 1) dia
 diagonals and overlap, so any e + 1 neighbouring diagonals lie within one. Bands that reach the bound are aligned with the
 segment, in a band of diagonals.
 
+Items with fewer than `SHORTEST` compared characters have too few q-grams for that, and are searched without edits, as whole words,
+by an automaton.
+
 The index of the benchmark goes to the executors in blocks of at most some `BLOCK_CHARS` characters, one pass over the
-documents for each, whatever the benchmark's size. Documents are not shuffled and each is judged alone, so copies and a
-hot source need no care. Whole texts are read; memory grows with the longest text.
+documents for each, whatever the benchmark's size; what a pass found is written before the next one. Documents are not
+shuffled and each is judged alone, so copies and a hot source need no care. Whole texts are read; memory grows with the
+longest text.
 
-Items that are null, or have fewer than `SHORTEST` compared characters, are searched nowhere. Documents that
+Items that are null, or have no letter or digit, are searched nowhere. Documents that
 are null or empty hold nothing. Repeated items are found once each; repeated documents get equal results.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstream.llm.rows import with_results
+from tillstream.llm.rows import dropped, stored, with_results
 from tillstream.llm.text import char_table, code_points, mix
 
 Q = 10
@@ -66,6 +71,10 @@ def _grams(chars: np.ndarray) -> np.ndarray:
     return mix(total)
 
 
+def _as_text(chars: np.ndarray) -> str:
+    return chars.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+
+
 @dataclass(frozen=True)
 class Segment:
     item: int
@@ -86,10 +95,13 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         self.segments: list[Segment] = []
+        self.short: dict[str, list[int]] = {}
         for item, text in items:
             chars, _, _ = compared([text])
             chars = chars[: len(chars) - 1] if len(chars) and chars[-1] == 32 else chars
             if len(chars) < SHORTEST:
+                if len(chars):
+                    self.short.setdefault(_as_text(chars), []).append(item)
                 continue
             last = max(0, len(chars) - SEGMENT)
             for start in sorted({*range(0, last, SEGMENT // 2), last}):
@@ -107,6 +119,25 @@ class Index:
         self.band = np.array([s.edits + 1 for s in self.segments], np.int64)
         self.shared = np.array([s.shared for s in self.segments], np.int64)
 
+    def search_short(self, chars: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text's number, item, start, end) of the short items that stand in the texts as whole words."""
+        if not self.short or not len(chars):
+            return
+        if not hasattr(self, "automaton"):  # made where it is used
+            import ahocorasick
+
+            self.automaton = ahocorasick.Automaton()
+            for pattern, found in self.short.items():
+                self.automaton.add_word(pattern, (len(pattern), found))
+            self.automaton.make_automaton()
+        for text in range(len(begins) - 1):
+            body = _as_text(chars[begins[text] : begins[text + 1]])
+            for last, (size, found) in self.automaton.iter(body):
+                start, end = last + 1 - size, last + 1
+                if (start == 0 or body[start - 1] == " ") and (end == len(body) or body[end] == " "):
+                    for item in found:
+                        yield text, item, int(begins[text]) + start, int(begins[text]) + end
+
     def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(segment, diagonal) of every q-gram that some characters share with a segment."""
         grams = _grams(chars)
@@ -122,6 +153,8 @@ class Index:
     def search(self, chars: np.ndarray, begins: np.ndarray) -> dict[int, list[tuple[int, int, int, int]]]:
         """text's number: (item, start, end, edits) of the passages found in it, as compared characters of all texts."""
         found = defaultdict(list)
+        for text, item, start, end in self.search_short(chars, begins):
+            found[text].append((item, start, end, 0))
         if not len(self.segments) or len(chars) < Q:
             return found
         segment, diagonal = self.hits(chars)
@@ -204,9 +237,15 @@ def find_leaks(
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // BLOCK_CHARS))
     found = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"), F.array().cast(T.ArrayType(SPAN)).alias("leaks"))
+    before = None
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).orderBy("item", "text")
         found = _with_block(found, [(r["item"], r["text"]) for r in own.toLocalIterator()])
+        if block + 1 < blocks:
+            found = stored(found, "leaks")
+            if before is not None:
+                dropped(before)
+            before = found
     found = found.withColumn("contaminated", F.size("leaks") > 0)
     return with_results(found, docs, RESULTS)
 
