@@ -263,19 +263,31 @@ def _meta_text(docs: DataFrame) -> Column:
     return F.concat_ws("\n", *parts)
 
 
+def _one_of_each(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text, meta) of some ids, a bounded list; of the rows of an id the one with the smallest hash."""
+    least = F.min_by(F.struct("text", "meta"), F.xxhash64("text", "meta")).alias("row")
+    return rows.join(F.broadcast(ids), "id", "left_semi").groupBy("id").agg(least).select("id", "row.text", "row.meta")
+
+
+def unlabelled_pool(rows: DataFrame, marked: DataFrame, size: int) -> DataFrame:
+    """(id, text, meta) of the `size` ids with the smallest hashes among those without a label.
+
+    A document with a label is never in it: it may be in the calibration fold, which no view may learn from.
+    """
+    ids = rows.where(F.col("id").isNotNull()).select("id").distinct().join(marked.select("id"), "id", "left_anti")
+    return _one_of_each(rows, ids.orderBy(F.xxhash64(F.lit(3), "id"), "id").limit(size))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Model:
-    """Learn from the labels `quality` and `toxic` (0 or 1) of some documents."""
+    """Learn from the labels `quality` and `toxic` (0 or 1) of at most `LABELLED` documents, and from at most `POOL` without a label."""
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), _meta_text(docs).alias("meta"))
     marked = labels.where(F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("id")).agg(
         F.avg("quality").alias("quality"), F.avg("toxic").alias("toxic")
     )
     chosen = marked.orderBy(F.xxhash64("id"), "id").limit(LABELLED)
-    sample = rows.join(F.broadcast(chosen), "id").select("id", "text", "meta", "quality", "toxic")
-    share = min(1.0, POOL / max(1, docs.count()))
+    sample = _one_of_each(rows, chosen.select("id")).join(F.broadcast(chosen), "id").select("id", "text", "meta", "quality", "toxic")
     none = F.lit(None).cast("double")
-    pool = rows.where(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(POOL).select(
-        "id", "text", "meta", none.alias("quality"), none.alias("toxic")
-    )
+    pool = unlabelled_pool(rows, marked, POOL).select("id", "text", "meta", none.alias("quality"), none.alias("toxic"))
     schema = (
         "id string, fold int, quality double, toxic double, present array<int>, forms array<double>, meta array<int>"
     )
