@@ -39,6 +39,8 @@ HOT = 4000
 #: Bytes of pieces in one suffix array, beyond the last anchor's, and of texts whose anchors are taken at a time.
 ARRAY_BYTES = 1_000_000
 CHUNK = 1 << 18
+#: Pieces that are cut out of a text at a time.
+CUT_PIECES = 2_000
 _PLACE_BITS = np.uint64(28)
 
 
@@ -98,16 +100,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, windows = binary(batch.column(2)), batch.column(3)
         for row in range(batch.num_rows):
             text, found = texts[row].as_py(), windows[row].as_py()
-            bodies = [text[max(0, w["first"] - 1) : w["last"] + WINDOW] for w in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.array([batch.column(k)[row].as_py()] * len(found), pa.int64()) for k in range(2)),
-                    pa.array([w["anchor"] for w in found], pa.int64()),
-                    pa.array([max(0, w["first"] - 1) for w in found], pa.int64()),
-                    pa.array([w["first"] > 0 for w in found], pa.bool_()), pa.array(bodies, pa.binary()),
-                ],
-                ["key_a", "key_b", "anchor", "start", "before", "piece"],
-            )
+            # A few at a time: in a text of few letters each window is a piece of its own, and has all its bytes.
+            for at in range(0, len(found), CUT_PIECES):
+                some = found[at : at + CUT_PIECES]
+                bodies = [text[max(0, w["first"] - 1) : w["last"] + WINDOW] for w in some]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.array([batch.column(k)[row].as_py()] * len(some), pa.int64()) for k in range(2)),
+                        pa.array([w["anchor"] for w in some], pa.int64()),
+                        pa.array([max(0, w["first"] - 1) for w in some], pa.int64()),
+                        pa.array([w["first"] > 0 for w in some], pa.bool_()), pa.array(bodies, pa.binary()),
+                    ],
+                    ["key_a", "key_b", "anchor", "start", "before", "piece"],
+                )
 
 
 class _Pieces:
