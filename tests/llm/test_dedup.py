@@ -73,6 +73,15 @@ def test_repeats(table, monkeypatch, hot):
     assert got == bytes_by_hand(rows)
 
 
+def test_texts_of_few_letters(table):
+    """Each window is a piece of its own; they are cut out a few at a time, and equal ones are held once."""
+    rows = [(1, "z" * 60_000), (2, "ab" * 20_000), (3, "z" * 399), (4, "é" * 30_000)]
+    found = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(table(rows)).collect()}
+    assert {i: (r["n_bytes"], r["n_removed"], r["n_spans"]) for i, r in found.items()} == {
+        1: (60_000, 60_000, 1), 2: (40_000, 40_000, 1), 3: (399, 0, 0), 4: (60_000, 60_000, 1)
+    }
+
+
 def test_maximal_repeats_are_groups():
     rng = random.Random(3)
     a, b = sentence(rng, 200).encode()[:500], sentence(rng, 200).encode()

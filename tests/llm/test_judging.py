@@ -72,6 +72,17 @@ def test_quality_held_out(spark):
     assert toxic[found["toxic"] == 1].mean() > 0.75 and toxic[found["toxic"] == 0].mean() < 0.02
 
 
+def test_no_labelled_document_is_taught(spark):
+    docs, labels = queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels")
+    rows = docs.select(F.col("doc_id").alias("id"), "text", F.lit("m").alias("meta"))
+    marked = labels.select(F.col("doc_id").alias("id")).distinct()
+    known = {r["id"] for r in marked.collect()}
+    pool = quality.unlabelled_pool(rows.unionAll(rows), marked, 300).collect()
+    ids = [r["id"] for r in pool]
+    assert len(ids) == len(set(ids)) == min(300, docs.count() - len(known)) and not known & set(ids)
+    assert sorted(r["id"] for r in quality.unlabelled_pool(rows.repartition(7), marked, 300).collect()) == sorted(ids)
+
+
 def test_quality_odd(spark, table, odd_rows):
     labels = spark.createDataFrame([(5, 1, 0), (7, 0, 1), (7, 0, None), (None, 1, 1), (99, 1, 0)], "doc_id long, quality int, toxic int")
     assert quality.score(table(odd_rows), quality.fit(table(odd_rows), labels)).count() == len(odd_rows)
@@ -122,6 +133,23 @@ def test_leaks(spark, table, odd_rows):
     assert decontaminate.find_leaks(table([]), bench.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [decontaminate.BLOCK_CHARS, 30])
+def test_short_items_are_found_as_words(spark, table, monkeypatch, block):
+    """Items too short for q-grams, in one pass or in several; not within other words, and never across documents."""
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", block)
+    items = spark.createDataFrame([
+        (1, "What is the capital of France? Paris"), (2, "Yes, 42!"), (3, "x"), (4, "?!"), (5, "Ünïcode wörd"), (2, "Yes, 42!"),
+    ], "item_id long, text string")
+    rows = [
+        (1, "He asked: what is the capital of  France?\nParis, she said."), (2, "yes 42"), (3, "Eyes 42, yes 421"), (4, "yes"), (5, "42"),
+        (6, "the axis x-ray"), (7, "ein ünïcode, wörd"), (8, None), (9, ""), (10, "what is the capital of France paris"[1:]),
+    ]
+    found = decontaminate.find_leaks(table(rows), items).collect()
+    assert {r["doc_id"]: sorted({x["item_id"] for x in r["leaks"]}) for r in found if r["leaks"]} == {1: [1], 2: [2], 6: [3], 7: [5]}
+    span = next(r["leaks"][0] for r in found if r["doc_id"] == 1)
+    assert rows[0][1][span["start"]:span["end"]] == "what is the capital of  France?\nParis" and span["edits"] == 0
+
+
 def test_leaks_in_blocks(spark, table, monkeypatch):
     rng = random.Random(9)
     items = [(i, sentence(rng, 20)) for i in range(8)]
@@ -202,6 +230,18 @@ def test_neighbours_among_copies(scale, dims):
     assert np.mean(copies) == 1 and np.mean(others) >= 0.97
 
 
+def test_neighbours_of_a_full_shard():
+    """Vectors without structure are the hardest for a graph."""
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(neighbours.SHARD_ROWS, 64))
+    graph, found = neighbours.Graph(vectors), 0
+    asked = rng.integers(0, len(vectors), 100)
+    for i in asked:
+        true = np.argsort(-(vectors @ vectors[i]), kind="stable")[:20]
+        found += len(np.intersect1d(true, graph.nearest(vectors[i], neighbours.SEARCH_WIDTH)))
+    assert found >= 0.9 * 20 * len(asked)
+
+
 def test_neighbours_odd(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [nan, 1.0]),
