@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 #: How long a replaced copy stays for those who still read it.
 KEEP_SECONDS = 3600.0
+#: Batches after which the jobs look for what can go.
+CLEAN_EVERY = 20
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -67,7 +69,17 @@ class Versions:
     def numbers(self) -> list[int]:
         return complete_numbers(self.spark, self.root, "version")
 
+    def _complete(self, number: int) -> bool:
+        where, files = _file_system(self.spark, f"{self.path(number)}/_SUCCESS")
+        return files.exists(where)
+
     def newest(self, before: int | None = None) -> int | None:
+        """The newest complete copy, or the newest numbered below `before`: the one noted last, or else by the list of all."""
+        noted = read_note(self.spark, f"{self.root}/newest")
+        if noted is not None:
+            number = int(noted) if before is None else min(int(noted), before - 1)
+            if self._complete(number):
+                return number
         numbers = [n for n in self.numbers() if before is None or n < before]
         return numbers[-1] if numbers else None
 
@@ -80,10 +92,14 @@ class Versions:
         return reader.parquet(self.path(number))
 
     def write(self, number: int, table: DataFrame) -> None:
+        """Write a copy and note its number if it is the newest, so that nobody has to list the others to find it."""
+        newest = self.newest()
         table.write.mode("overwrite").parquet(self.path(number))
+        write_note(self.spark, f"{self.root}/newest", str(number if newest is None else max(number, newest)))
 
     def discard(self, number: int) -> None:
         """Drop a copy, if it is there."""
+        delete_folder(self.spark, f"{self.root}/newest")
         delete_folder(self.spark, self.path(number))
 
     def _times(self) -> dict[int, float]:
@@ -112,4 +128,4 @@ class Versions:
         old = self.numbers()[:-keep]
         if old:
             for number in sorted({*old} & {*self.replaced(seconds)} if seconds else old):
-                self.discard(number)
+                delete_folder(self.spark, self.path(number))

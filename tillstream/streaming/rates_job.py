@@ -15,7 +15,7 @@ from tillstream.operators.upsert import first_by, upsert
 from tillstream.schemas import ARRIVAL, RATE, STORED_RATES
 from tillstream.sinks.database import RATES_TABLE, Publish
 from tillstream.sinks.parts import PART, Parts
-from tillstream.sinks.versions import KEEP_SECONDS, Versions, delete_folder, read_note, write_note
+from tillstream.sinks.versions import CLEAN_EVERY, KEEP_SECONDS, Versions, delete_folder, read_note, write_note
 from tillstream.sources.decode import decode
 from tillstream.streaming.batches import BatchLog, run_batches
 from tillstream.streaming.event_time import with_event_time
@@ -103,8 +103,10 @@ class RatesJob:
             self.publish({RATES_TABLE: changed})
 
     def _clean(self, batch_id: int) -> None:
-        self.versions.expire(self.keep_versions, self.keep_seconds)
         delete_folder(self.spark, f"{self.root}/clock/{batch_id - 1}")
+        if self.keep_seconds and batch_id % CLEAN_EVERY != CLEAN_EVERY - 1:
+            return
+        self.versions.expire(self.keep_versions, self.keep_seconds)
         if self.keep_intervals:
             self._open_rates.expire(self.keep_versions, self.keep_seconds)
             self._closed.expire(self._open_rates.numbers()[0], self.keep_seconds)

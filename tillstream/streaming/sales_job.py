@@ -24,7 +24,7 @@ from tillstream.operators.upsert import last_by, replace_keys, upsert_few
 from tillstream.schemas import RATE, SALE, SALES_PER_CATEGORY, SALES_PER_DAY, STORED_SALES
 from tillstream.sinks.database import CATEGORY_TABLE, DAY_TABLE, SALES_TABLE, Publish
 from tillstream.sinks.parts import PART, Parts
-from tillstream.sinks.versions import KEEP_SECONDS, Versions, delete_folder
+from tillstream.sinks.versions import CLEAN_EVERY, KEEP_SECONDS, Versions, delete_folder
 from tillstream.sources.decode import decode
 from tillstream.sources.tables import table_or_none
 from tillstream.streaming.batches import BatchLog, run_batches
@@ -53,8 +53,6 @@ PARTS = {
 }
 #: An id is always in one partition of its topic, so its rows came in the order of their offsets, whatever the broker's clock says.
 ORDER = ["arrival.partition", "arrival.offset"]
-#: Batches after which replaced parts are looked for.
-CLEAN_EVERY = 20
 RULES = [*quality.decode_errors(SALE), "missing_transaction_id", *(f"long_{c}" for c in SALE.text_limits()),
          "missing_transaction_date", "missing_product_category", "amount_out_of_range"]
 
@@ -260,16 +258,17 @@ class SalesJob:
         ):
             versions = self.versions(name)
             versions.write(batch_id, replace_keys(versions.read(before=batch_id), changes, keys))
-            versions.expire(self.keep_versions, self.keep_seconds)
         return by_category, by_day
 
     def _clean(self, batch_id: int) -> None:
         """Drop what no reader can hold any more, and fold the log if it is time."""
-        blocks = self.versions("blocks")
-        blocks.expire(self.keep_versions, self.keep_seconds)
-        if batch_id % CLEAN_EVERY == CLEAN_EVERY - 1:
+        if not self.keep_seconds or batch_id % CLEAN_EVERY == CLEAN_EVERY - 1:
+            blocks = self.versions("blocks")
+            blocks.expire(self.keep_versions, self.keep_seconds)
             for name in ("days", "unique"):
                 self.parts(name).expire(blocks.numbers()[0], self.keep_seconds)
+            for name in ("processed_category", "processed_day"):
+                self.versions(name).expire(self.keep_versions, self.keep_seconds)
         if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
             self.compact()
             self.drop_compacted(self.keep_seconds)
