@@ -28,9 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MARK = "▁"
-#: Bytes of stretches that a worker remembers, in each of two generations, and pairs of tokens.
+#: Bytes of stretches that a task remembers, in each of two generations.
 REMEMBERED_BYTES = 24 << 20
-REMEMBERED_PAIRS = 100_000
+#: Pairs of tokens whose fit a worker remembers (some 100 bytes each).
+REMEMBERED_PAIRS = 400_000
 #: What a remembered stretch takes besides its word and ids.
 ENTRY_BYTES = 200
 #: A stretch longer than this is not remembered.
@@ -224,9 +225,8 @@ class Encoder:
         return b"".join(parts)
 
     def forget(self) -> None:
-        """A task's end: a worker may serve other stages next."""
-        self.met, self.older, self.held = {}, {}, 0
-        self.fits, self.pairs, self.runs = {}, 0, {}
+        """A task's end: a worker may serve other stages next. Pairs stay, as the next task would judge the same ones again."""
+        self.met, self.older, self.held, self.runs = {}, {}, 0, {}
 
     def encode(self, text: str | None) -> list[int]:
         """The ids of a text and the end id."""
