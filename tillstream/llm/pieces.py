@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 MARK = "▁"
 #: Bytes of stretches that a task remembers, in each of two generations.
-REMEMBERED_BYTES = 24 << 20
+REMEMBERED_BYTES = 48 << 20
 #: Pairs of tokens whose fit a worker remembers (some 100 bytes each).
 REMEMBERED_PAIRS = 400_000
 #: What a remembered stretch takes besides its word and ids.
@@ -96,7 +96,7 @@ class Encoder:
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             if self.merged(p) == [p]:
-                self.automaton.add_word(p, p)
+                self.automaton.add_word(p, (p, len(p)))
         self.automaton.make_automaton()
 
     def merged(self, text: str) -> list[str]:
@@ -141,22 +141,21 @@ class Encoder:
             return self.merged(text)
         # The automaton reports pieces by their ends, the longest first. A place that none of them ends at has a
         # character that is not in the vocabulary, which is a token of its own.
-        last: list[str | None] = [None] * (len(text) + 1)
-        fits = self.fits
-        for at, piece in self.automaton.iter(text):
-            at += 1
-            if last[at] is not None:
+        last: list[str | None] = [None] * len(text)
+        fits, nothing = self.fits.get, {}
+        for at, (piece, size) in self.automaton.iter(text):
+            if last[at]:
                 continue
-            start = at - len(piece)
-            if start:
-                before = last[start] or text[start - 1]
-                known = fits[before].get(piece) if before in fits else None
+            end = at - size  # of the prefix before the piece
+            if end >= 0:
+                before = last[end] or text[end]
+                known = fits(before, nothing).get(piece)
                 if not (self.stay(before, piece) if known is None else known):
                     continue
             last[at] = piece
-        tokens, at = [], len(text)
-        while at:
-            token = last[at] or text[at - 1]
+        tokens, at = [], len(text) - 1
+        while at >= 0:
+            token = last[at] or text[at]
             tokens.append(token)
             at -= len(token)
         return tokens[::-1]
@@ -199,9 +198,11 @@ class Encoder:
         words = text.replace(MARK, " ").split(" ")
         if "" in words:
             return self._with_runs(words) + self.end
+        for word in set(words).difference(self.met):
+            self.stretch(word)
         try:
             return b"".join(map(self.met.__getitem__, words)) + self.end
-        except KeyError:
+        except KeyError:  # a long word, or some were just forgotten
             return b"".join(map(self.stretch, words)) + self.end
 
     def _with_runs(self, words: list[str]) -> bytes:
