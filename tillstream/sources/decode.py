@@ -64,8 +64,10 @@ def decode(
         .where(F.col("_text").isNull() | (wire.stripped(F.col("_text")) != "null"))
         .withColumn("_fields", F.from_json("_text", _FIELDS, _PARSER))
     )
-    names = F.map_keys("_fields")
-    malformed = F.col("_fields").isNull() | (F.size(F.array_distinct(names)) < F.size(names))
+    names, known = F.map_keys("_fields"), F.array(*[F.lit(f.wire) for f in record.fields])
+    # Most messages have just the record's fields, in its order; only others are looked at field by field.
+    plain = names == known
+    malformed = F.col("_fields").isNull() | (~plain & (F.size(F.array_distinct(names)) < F.size(names)))
     fields = parsed.withColumn("_malformed", malformed).select(
         *others, "_text", "_fields", "_malformed", *[_text(f).alias(_given(f)) for f in record.fields]
     )
@@ -73,8 +75,7 @@ def decode(
 
     errors = [F.when(F.col("_malformed"), F.lit("malformed"))]
     if unknown_fields == "reject":
-        known = F.array(*[F.lit(f.wire) for f in record.fields])
-        errors.append(F.when(F.size(F.array_except(names, known)) > 0, F.lit("unknown_field")))
+        errors.append(F.when(~plain & (F.size(F.array_except(names, known)) > 0), F.lit("unknown_field")))
     errors += [
         F.when(wire.unreadable(F.col(_given(f)), F.col(f.column)), F.lit(f"bad_{f.column}"))
         for f in record.fields
