@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,11 +17,15 @@ BROADCAST_ROWS = 1_000_000
 ROW_TEXT_BYTES = 64
 
 
+def weight(side: DataFrame) -> Column:
+    """An aggregate: the rows of a table, of which one with long texts counts as several."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in side.schema if isinstance(f.dataType, T.StringType)]
+    return F.coalesce(F.sum(F.floor(sum(texts, F.lit(0)) / (ROW_TEXT_BYTES + 1)) + 1), F.lit(0))
+
+
 def is_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether a stored table is small enough to broadcast, by its rows and the bytes of its texts."""
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in side.schema if isinstance(f.dataType, T.StringType)]
-    weight = F.floor(sum(texts, F.lit(0)) / (ROW_TEXT_BYTES + 1)) + 1
-    return (side.agg(F.sum(weight)).first()[0] or 0) <= max_rows
+    return side.agg(weight(side)).first()[0] <= max_rows
 
 
 def small_or_shuffled(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -57,18 +61,19 @@ def convert_latest(
     base: str = BASE_CURRENCY,
     broadcast_rows: int = BROADCAST_ROWS,
     before_shuffle: Callable[[DataFrame], DataFrame] = lambda sales: sales,
+    weighed: int | None = None,
 ) -> DataFrame:
     """Each sale once, its amount times the stored rate of its currency into `base`.
 
     `rates` is a stored table with one row per pair; None says that it cannot be read. There is
     no inverse or chained rate, and the base currency's own stored rate counts like any other.
     Currency and price keep their original values. `before_shuffle` is applied to the sales if the
-    rates are too many to broadcast.
+    rates are too many to broadcast; `weighed` is their weight, if it is known.
     """
     if rates is None:
         return sales.withColumn("rate_status", F.lit("unavailable"))
     lookup = rates_into(rates, base)
-    if is_small(lookup, broadcast_rows):
+    if is_small(lookup, broadcast_rows) if weighed is None else weighed <= broadcast_rows:
         lookup = F.broadcast(lookup)
     else:
         lookup, sales = lookup.hint("merge"), before_shuffle(sales)

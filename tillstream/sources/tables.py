@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import TypeVar
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillstream.settings import DB_DRIVER, DB_PASSWORD, DB_URL, DB_USER, Settings
 
+Read = TypeVar("Read")
+
 
 def connection_options(settings: Settings) -> dict[str, str]:
     found = {
@@ -26,8 +29,8 @@ def database_table(spark: SparkSession, settings: Settings, table: str) -> DataF
     return spark.read.format("jdbc").options(**connection_options(settings)).option("dbtable", table).load()
 
 
-def table_or_none(read: Callable[[], DataFrame], on_error: str = "pass") -> DataFrame | None:
-    """The table, or None if it cannot be read; `on_error="fail"` raises instead."""
+def table_or_none(read: Callable[[], Read], on_error: str = "pass") -> Read | None:
+    """What `read` gives, or None if it cannot be read; `on_error="fail"` raises instead."""
     try:
         return read()
     except (PySparkException, Py4JError):

@@ -19,7 +19,7 @@ from tillstream.functions.codes import BASE_CURRENCY
 from tillstream.operators import quality, totals
 from tillstream.operators.asof import Intervals, convert_as_of, convert_in_intervals
 from tillstream.operators.changelog import retractions, summed_changes
-from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest, known_codes
+from tillstream.operators.enrich import BROADCAST_ROWS, convert_latest, known_codes, weight
 from tillstream.operators.upsert import last_by, replace_keys, upsert_few
 from tillstream.schemas import RATE, SALE, SALES_PER_CATEGORY, SALES_PER_DAY, STORED_SALES
 from tillstream.sinks.database import CATEGORY_TABLE, DAY_TABLE, SALES_TABLE, Publish
@@ -198,8 +198,10 @@ class SalesJob:
 
     def _converted(self, batch_id: int, sales: DataFrame) -> DataFrame:
         if not self.as_of:
-            rates = table_or_none(partial(self._settled_rates, batch_id), self.on_rates_error)
-            return convert_latest(sales, rates, broadcast_rows=self.broadcast_rows, before_shuffle=partial(self._landed, batch_id))
+            rates, weighed = table_or_none(partial(self._settled_rates, batch_id), self.on_rates_error) or (None, None)
+            return convert_latest(
+                sales, rates, broadcast_rows=self.broadcast_rows, before_shuffle=partial(self._landed, batch_id), weighed=weighed
+            )
         rates = table_or_none(self.read_rates, self.on_rates_error)
         if rates is None:
             return convert_latest(sales, None)
@@ -209,15 +211,15 @@ class SalesJob:
         found = table_or_none(lambda: rates.lookups(months, self.broadcast_rows), self.on_rates_error)
         return convert_latest(landed, None) if found is None else convert_in_intervals(landed, *found)
 
-    def _settled_rates(self, batch_id: int) -> DataFrame | None:
-        """The rates that a batch needs, read once and to the end, so that a table which fails half-way counts as unreadable."""
+    def _settled_rates(self, batch_id: int) -> tuple[DataFrame, int] | None:
+        """The rates that a batch needs and their weight, read once and to the end, so that a table which fails half-way is unreadable."""
         rates = self.read_rates()
         if rates is None:
             return None
         path = f"{self.root}/rates/batch_id={batch_id}"
-        kept = known_codes(rates, BASE_CURRENCY).select(*RATE.key, "exchange_rate")
-        kept.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(kept.schema).parquet(path)
+        kept, seen = known_codes(rates, BASE_CURRENCY).select(*RATE.key, "exchange_rate"), Observation()
+        kept.observe(seen, weight(kept).alias("weight")).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(kept.schema).parquet(path), seen.get["weight"]
 
     def _landing(self, batch_id: int) -> str:
         return f"{self.root}/landing/batch_id={batch_id}"
