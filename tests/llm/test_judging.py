@@ -287,7 +287,8 @@ def test_pieces_of_a_table(table, odd_rows, vocabulary):
 @pytest.mark.parametrize("name", sorted(oracles.SQL))
 def test_query_equals_sql(spark, name):
     rows, found = differences(spark, connect(SF), SF, queries.queries()[name], oracles.SQL[name])
-    assert rows == 1000 and found == []
+    # A row for each document, or for each conversation.
+    assert rows == (100 if name == "op13_conversation_repair" else 1000) and found == []
 
 
 def test_pipeline_keeps_one_row_of_each_group(spark, table):

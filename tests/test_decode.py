@@ -95,6 +95,24 @@ def test_one_parse(spark):
     assert text.count("from_json") == 1 and "json_object_keys" not in text
 
 
+def test_values_are_taken_by_place(spark):
+    """Where a message has just the record's fields, in its order, none is looked for by name."""
+    df = decode(spark.createDataFrame([("{}",)], "value string"), SALE)
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("map_values") == 1 and "_values#" in text
+
+
+def test_order_of_fields_does_not_matter(spark):
+    """In the record's order with a null, in another order, with a field absent, with an unknown one."""
+    full = [("fromCurrency", '"EUR"'), ("toCurrency", "null"), ("exchangeRate", "2.5"), ("lastUpdated", '"2024-01-02"')]
+    given = [full, full[::-1], full[1:], [*full, ("colour", '"red"')]]
+    texts = ["{" + ", ".join(f'"{name}": {value}' for name, value in fields) + "}" for fields in given]
+    df = decode(spark.createDataFrame(list(enumerate(texts)), "n int, value string"), RATE).orderBy("n")
+    found = [(r.from_currency, r.to_currency, r.exchange_rate, r.last_updated.day, r.decode_error) for r in df.collect()]
+    assert found == [("EUR", None, 2.5, 2, None), ("EUR", None, 2.5, 2, None), (None, None, 2.5, 2, None),
+                     ("EUR", None, 2.5, 2, "unknown_field")]
+
+
 def test_text_fields_hold_json(spark):
     row = decoded(spark, '{"transactionId": {"a": [1, 2]}, "customerId": 2.50, "productId": "2.50"}')
     assert (row["transaction_id"], row["customer_id"], row["product_id"]) == ('{"a":[1,2]}', "2.5", "2.50")

@@ -29,9 +29,9 @@ def _given(field: Field) -> str:
     return f"_{field.column}"
 
 
-def _text(field: Field) -> Column:
+def _text(field: Field, place: int) -> Column:
     """The value as text; null if it is absent or null."""
-    text = F.when(~F.col("_malformed"), F.col("_fields")[field.wire])
+    text = F.col("_values")[place]
     return F.trim(text) if field.type == "timestamp" else text
 
 
@@ -58,24 +58,32 @@ def decode(
     if unknown_fields not in ("reject", "ignore"):
         raise ValueError(f"unknown_fields: {unknown_fields!r}")
     others = [c for c in messages.columns if c != value]
-    # One step each for the parse, the texts, the typed values and the errors, so that none is computed twice.
+    # One step each for the parse, the fields' names, the texts, the typed values and the errors, so that none is computed twice.
+    # What begins an object is no `null`, so few messages are searched for white space.
+    text = F.col("_text")
     parsed = (
         messages.withColumn("_text", F.col(value).cast("string"))
-        .where(F.col("_text").isNull() | (wire.stripped(F.col("_text")) != "null"))
+        .where(text.isNull() | text.startswith("{") | (wire.stripped(text) != "null"))
         .withColumn("_fields", F.from_json("_text", _FIELDS, _PARSER))
     )
     names, known = F.map_keys("_fields"), F.array(*[F.lit(f.wire) for f in record.fields])
-    # Most messages have just the record's fields, in its order; only others are looked at field by field.
-    plain = names == known
-    malformed = F.col("_fields").isNull() | (~plain & (F.size(F.array_distinct(names)) < F.size(names)))
-    fields = parsed.withColumn("_malformed", malformed).select(
-        *others, "_text", "_fields", "_malformed", *[_text(f).alias(_given(f)) for f in record.fields]
+    # Most messages have just the record's fields, in its order: their values are taken by place. Only in others is each name looked for.
+    plain, fields = F.col("_plain"), F.col("_fields")
+    named = parsed.withColumn("_plain", F.coalesce(names == known, F.lit(False)))
+    malformed = fields.isNull() | (~plain & (F.size(F.array_distinct(names)) < F.size(names)))
+    unknown = ~plain & (F.size(F.array_except(names, known)) > 0)
+    valued = named.withColumns({"_malformed": malformed, "_unknown": unknown}).withColumn(
+        "_values",
+        F.when(plain, F.map_values("_fields")).when(~F.col("_malformed"), F.array(*[fields[f.wire] for f in record.fields])),
     )
-    typed = fields.withColumns({f.column: _typed(f) for f in record.fields})
+    given = valued.select(
+        *others, "_text", "_malformed", "_unknown", *[_text(f, n).alias(_given(f)) for n, f in enumerate(record.fields)]
+    )
+    typed = given.withColumns({f.column: _typed(f) for f in record.fields})
 
     errors = [F.when(F.col("_malformed"), F.lit("malformed"))]
     if unknown_fields == "reject":
-        errors.append(F.when(~plain & (F.size(F.array_except(names, known)) > 0), F.lit("unknown_field")))
+        errors.append(F.when(F.col("_unknown"), F.lit("unknown_field")))
     errors += [
         F.when(wire.unreadable(F.col(_given(f)), F.col(f.column)), F.lit(f"bad_{f.column}"))
         for f in record.fields
