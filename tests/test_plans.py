@@ -124,3 +124,14 @@ def test_untouched_rows_are_not_shuffled(spark, tmp_path):
 def test_categories_are_summed_before_the_shuffle(spark):
     text = plan(totals.category_total(b.live_sales(spark, SF_DIR)))
     assert text.index("Exchange hashpartitioning(category") < text.index("partial_sum")
+
+
+def test_many_changed_keys_are_not_dealt_out_to_be_counted(spark, monkeypatch):
+    """A sketch tells that they are too many to broadcast; the upsert is the same."""
+    monkeypatch.setattr(upsert, "is_small", None)  # counting would fail
+    table = spark.range(300).selectExpr("cast(id as string) as transaction_id", "id as arrival_seq")
+    changes = spark.range(200, 500).selectExpr("cast(id as string) as transaction_id", "id + 1000 as arrival_seq")
+    found = upsert.upsert_few(table, changes, SALE.key, ["arrival_seq"], broadcast_rows=10)
+    expected = {str(n): n + 1000 if n >= 200 else n for n in range(500)}
+    rows = found.collect()
+    assert len(rows) == 500 and {r.transaction_id: r.arrival_seq for r in rows} == expected

@@ -54,7 +54,9 @@ def upsert_few(
     if table is None:
         return last_by(changes, keys, order)
     touched = changes.select(*keys).distinct()
-    if not is_small(touched, broadcast_rows):
+    # Far too many keys are told by a sketch, without dealing them out; what may be few is counted.
+    about = changes.agg(F.approx_count_distinct(F.struct(*keys))).first()[0]
+    if about > 2 * broadcast_rows or not is_small(touched, broadcast_rows):
         return upsert(table, changes, keys, order)
     touched = F.broadcast(touched)
     kept = table.join(touched, list(keys), "left_anti")
