@@ -126,6 +126,13 @@ def test_categories_are_summed_before_the_shuffle(spark):
     assert text.index("Exchange hashpartitioning(category") < text.index("partial_sum")
 
 
+def test_products_join_last(spark):
+    """Their texts are not dealt out with the lines by the keys of other tables."""
+    text = b.sales(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    keys = re.findall(r"Join Inner, \((\w+)#", text)
+    assert len(keys) == 3 and "partkey" in keys[0]  # the last join is the topmost
+
+
 def test_many_changed_keys_are_not_dealt_out_to_be_counted(spark, monkeypatch):
     """A sketch tells that they are too many to broadcast; the upsert is the same."""
     monkeypatch.setattr(upsert, "is_small", None)  # counting would fail

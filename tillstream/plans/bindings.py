@@ -34,10 +34,11 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(urgency == "3-MEDIUM", "debit_card")
         .otherwise("online_transfer")
     )
+    # Products have the most text, so they come last: where the lines are dealt out for a join, they are narrow.
     return (
-        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(order, F.col("l_orderkey") == F.col("o_orderkey"))
+        line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
